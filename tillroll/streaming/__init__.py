@@ -1,0 +1,6 @@
+"""Streaming: the reference pipeline has no streaming semantics.
+
+It runs one batch per day and replaces one ``ingestion_date`` partition
+per run (see ``tillroll.operators.warehouse``). There are no watermarks,
+event-time windows or state to re-express, so nothing lives here.
+"""
