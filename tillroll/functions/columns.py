@@ -91,10 +91,10 @@ TIMESTAMP_FORMATS = [
     "yyyy-M-d'T'H:mm[:ss]",
 ]
 
-# Leading/trailing white space as Python's ``str.strip`` sees it, not only the
-# ASCII blank that Spark's ``trim`` removes.
-_WS = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_STRIP_PATTERN = rf"^{_WS}+|{_WS}+$"
+# White space as Python's ``str.strip`` sees it (every character for which
+# ``str.isspace`` holds), not only the ASCII blank Spark's ``trim`` removes.
+# Derived from that rule rather than listed.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 _INF = float("inf")
 
@@ -104,8 +104,8 @@ def col_(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Strip white space at both ends."""
-    return F.regexp_replace(col_(c), _STRIP_PATTERN, "")
+    """Strip white space at both ends (a character-set trim, no regex)."""
+    return F.btrim(col_(c), F.lit(WHITESPACE))
 
 
 def null_tokens(c: Column | str) -> Column:

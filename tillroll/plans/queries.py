@@ -93,7 +93,7 @@ def fact_sales(spark, sf):
 # -- loads ----------------------------------------------------------------------
 
 def load_dim_insert_if_absent(spark, sf):
-    dims = Scenario(spark, sf).dims_ab()
+    dims = Scenario(spark, sf).dims_ab
     product = dims["dim_product"].select(
         F.lit("dim_product").alias("dimension"), F.col("product_key").alias("member_key"),
         F.col("stock_code").alias("natural_key"), F.col("description").alias("attribute"),
@@ -115,18 +115,18 @@ def load_fact_rerun(spark, sf):
 
 def anomaly_range_replace(spark, sf):
     s = Scenario(spark, sf)
-    before = anomaly.detect_anomalies(s.daily_of(s.fact_ab, s.dims_ab()))
-    rerun = anomaly.detect_anomalies(s.daily_of(s.fact_rerun, s.dims_rerun(), RUN_DATE))
+    before = anomaly.detect_anomalies(s.daily_of(s.fact_ab, s.dims_ab))
+    rerun = anomaly.detect_anomalies(s.daily_of(s.fact_rerun, s.dims_rerun, RUN_DATE))
     return warehouse.replace_anomaly_range(before, rerun)
 
 
 def forecast_run_replace(spark, sf):
     s = Scenario(spark, sf)
-    daily_ab = s.daily_of(s.fact_ab, s.dims_ab())
-    daily_rerun = s.daily_of(s.fact_rerun, s.dims_rerun())
+    daily_ab = s.daily_of(s.fact_ab, s.dims_ab)
+    daily_rerun = s.daily_of(s.fact_rerun, s.dims_rerun)
     first = forecast.forecast_revenue(daily_ab)
     # A backfill run with an explicit run date ...
-    backfill = forecast.forecast_revenue(s.daily_of(s.fact_rerun, s.dims_rerun(), RUN_DATE), run_date=RUN_DATE)
+    backfill = forecast.forecast_revenue(s.daily_of(s.fact_rerun, s.dims_rerun, RUN_DATE), run_date=RUN_DATE)
     state = warehouse.replace_forecast_run(first, backfill, RUN_DATE)
     # ... then a run without one: rows carry each region's last day, the
     # delete uses the global last day (Q18).

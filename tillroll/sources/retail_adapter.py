@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.tables import read_table
+from tillroll.sources.tables import partition_for_join, read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the test-data definition.
@@ -41,21 +41,28 @@ def _lookup(values: list[str], index):
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw invoice-line frame (all strings) derived from the test tables."""
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
+    lineitem = partition_for_join(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"
+        ),
+        "l_orderkey",
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
-    # Join the small sides first; Spark broadcasts whatever is under the
-    # size threshold (nation always, part/orders at small scale) and
-    # shuffles the rest on the join keys.
-    order_nation = (
+    # Orders meet their customer's nation first (a smaller join), then both
+    # sides of the lineitem join are hash-partitioned on the order key: at
+    # scale these are the two shuffles the sort-merge join needs anyway, and
+    # on small single-row-group inputs they spread the per-row work over all
+    # cores. Small sides (nation always; part, customer at small scale) are
+    # broadcast by Spark's size-based threshold.
+    order_nation = partition_for_join(
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-        .select("o_orderkey", "o_custkey", "o_orderdate", "n_nationkey")
+        .select("o_orderkey", "o_custkey", "o_orderdate", "n_nationkey"),
+        "o_orderkey",
     )
     joined = (
         lineitem.join(order_nation, lineitem.l_orderkey == order_nation.o_orderkey)
