@@ -21,14 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def partition_for_join(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on its join keys into the session's shuffle
-    partition count.
+    """Hash-partition ``df`` on its join keys.
 
     At scale this is the very shuffle a sort-merge join on ``keys`` needs
     (Spark reuses it instead of adding another); on a small input read from
-    one row group it spreads all per-row work after the scan over every
-    core instead of one task. An explicit partition count is never
-    coalesced away by AQE.
+    one row group it spreads all per-row work after the scan over the
+    cores instead of one task. The partition count is the session's, and
+    AQE may coalesce it to the data size.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    return df.repartition(*keys)
