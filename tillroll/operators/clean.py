@@ -31,12 +31,12 @@ def _dedup_columns(df: DataFrame) -> list[str]:
 
 def _stripped(df: DataFrame) -> DataFrame:
     """X1/X4 after the whole-row dedup (Q24: dedup happens before the strip)."""
-    return (
-        df.withColumn("InvoiceNo", C.strip_ws(F.col("InvoiceNo").cast(StringType())))
-        .withColumn("StockCode", C.strip_ws(F.col("StockCode").cast(StringType())))
-        .withColumn("Description", C.strip_ws(F.coalesce(F.col("Description"), F.lit(C.UNKNOWN_PRODUCT))))
-        .withColumn("Country", C.strip_ws(F.coalesce(F.col("Country"), F.lit(C.UNKNOWN_COUNTRY))))
-    )
+    return df.withColumns({
+        "InvoiceNo": C.strip_ws(F.col("InvoiceNo").cast(StringType())),
+        "StockCode": C.strip_ws(F.col("StockCode").cast(StringType())),
+        "Description": C.strip_ws(F.coalesce(F.col("Description"), F.lit(C.UNKNOWN_PRODUCT))),
+        "Country": C.strip_ws(F.coalesce(F.col("Country"), F.lit(C.UNKNOWN_COUNTRY))),
+    })
 
 
 def _valid() -> F.Column:
@@ -69,22 +69,21 @@ def clean_transactions(validated: DataFrame, ingestion_date=None) -> DataFrame:
         date_col = _date_lit(ingestion_date)
     quantity = F.col("Quantity")
     gross = C.round2_half_even_binary(quantity * F.col("UnitPrice"))
-    return (
-        _stripped(deduped)
-        .where(_valid())
-        .withColumn("Quantity", quantity.cast("bigint"))
-        .withColumn("InvoiceDate", F.col("InvoiceDate").cast("timestamp_ntz"))
-        .withColumn("ingestion_date", date_col)
-        .withColumn("currency_code", F.lit(C.CURRENCY))
-        .withColumn("region_name", C.country_to_region("Country"))
-        .withColumn("gross_sales", gross)
-        .withColumn("return_amount", F.when(quantity < 0, F.abs(gross)).otherwise(F.lit(0.0)))
-        .withColumn("net_sales", F.when(quantity >= 0, gross).otherwise(F.lit(0.0)))
-        .withColumn(
-            "is_return",
-            (quantity < 0) | F.upper(F.col("InvoiceNo")).startswith("C"),
-        )
-    )
+    valid = _stripped(deduped).where(_valid())
+    typed_out = valid.withColumns({
+        "Quantity": quantity.cast("bigint"),
+        "InvoiceDate": F.col("InvoiceDate").cast("timestamp_ntz"),
+        "ingestion_date": date_col,
+        "currency_code": F.lit(C.CURRENCY),
+        "region_name": C.country_to_region("Country"),
+        "gross_sales": gross,
+    })
+    g = F.col("gross_sales")
+    return typed_out.withColumns({
+        "return_amount": F.when(quantity < 0, F.abs(g)).otherwise(F.lit(0.0)),
+        "net_sales": F.when(quantity >= 0, g).otherwise(F.lit(0.0)),
+        "is_return": (quantity < 0) | F.upper(F.col("InvoiceNo")).startswith("C"),
+    })
 
 
 def cleaning_report(validated: DataFrame) -> DataFrame:
