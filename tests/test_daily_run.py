@@ -36,7 +36,7 @@ def test_run_daily_end_to_end(spark, tmp_path):
     assert out["validation"]["source_rows"] == 81
     assert out["validation"]["accepted_rows"] == 80
     assert out["validation"]["rejection_reasons"] == {"invalid_quantity": 1}
-    assert out["fact_rows"] == 80
+    assert out["batch_fact_rows"] == 80
     for part in daily_run.LANDING_PARTS:
         assert os.path.isdir(os.path.join(root, "landing", part, "ingestion_date=2026-07-21"))
     manifest_dir = os.path.join(root, "landing", "manifest", "ingestion_date=2026-07-21")

@@ -195,4 +195,4 @@ def run_daily(spark: SparkSession, source: str, root: str, ingestion_date=None)
     loaded = transform_and_load(spark, root, d)
     run_anomaly_detection(spark, root, run_date=d)
     run_forecast(spark, root, run_date=d)
-    return {"validation": report, "fact_rows": loaded}
+    return {"validation": report, "batch_fact_rows": loaded}
