@@ -33,6 +33,7 @@ DIMENSION_KEYS = {
     "dim_region": "region_key",
 }
 ANOMALY_KEY = ["metric_date", "region_key"]
+ANOMALY_PARTITION = "metric_month"
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
 
 
@@ -173,9 +174,11 @@ class Warehouse:
         return path_exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame | None:
+        """The table in its warehouse types; partition folders (and helper
+        partition columns such as ``metric_month``) are resolved here."""
         if not self.exists(table):
             return None
-        return self.spark.read.schema(schemas.TABLES[table]).parquet(self.path(table))
+        return schemas.conform(self.spark.read.parquet(self.path(table)), table)
 
     def read_or_empty(self, table: str) -> DataFrame:
         df = self.read(table)
@@ -216,12 +219,35 @@ class Warehouse:
 
     # -- W3 ----------------------------------------------------------------
     def persist_anomalies(self, flags: DataFrame, detected_at=None) -> None:
+        """W3 with a stamp. The table is partitioned by month of metric_date;
+        only the months inside the batch's range are rewritten (dynamic
+        partition overwrite from a reliable checkpoint), so a failed write
+        never leaves the table without its history and a rerun repairs it."""
         if flags.isEmpty():
             return
         stamp = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")
         new = schemas.conform(flags.withColumn("detected_at", stamp), "anomaly_flags")
-        merged = cut_lineage(replace_anomaly_range(self.read("anomaly_flags"), new))
-        merged.coalesce(1).write.mode("overwrite").parquet(self.path("anomaly_flags"))
+        lo, hi = new.agg(F.min("metric_date"), F.max("metric_date")).first()
+        first_month, last_month = lo.strftime("%Y-%m"), hi.strftime("%Y-%m")
+        month = F.date_format("metric_date", "yyyy-MM")
+        existing = self.read("anomaly_flags")
+        if existing is not None:
+            existing = existing.where(month.between(first_month, last_month))
+        merged = cut_lineage(
+            replace_anomaly_range(existing, new).withColumn(ANOMALY_PARTITION, month)
+        )
+        written = {r[0] for r in merged.select(ANOMALY_PARTITION).distinct().collect()}  # months: calendar-bounded
+        if existing is not None:
+            stale = {r[0] for r in existing.select(month).distinct().collect()} - written
+            for m in stale:  # months left with no rows would keep their old folder
+                delete_path(self.spark, f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={m}")
+        (
+            merged.repartition(ANOMALY_PARTITION)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(ANOMALY_PARTITION)
+            .parquet(self.path("anomaly_flags"))
+        )
 
     # -- W4 ----------------------------------------------------------------
     def persist_forecasts(self, forecasts: DataFrame, run_date, created_at=None) -> None:
