@@ -15,7 +15,6 @@ as one job per action.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -42,10 +41,13 @@ def invoice_digits() -> F.Column:
     return F.regexp_replace(F.col("InvoiceNo"), "[^0-9]", "").try_cast("bigint")
 
 
-@dataclass
 class Batch:
-    labelled: DataFrame
-    ingestion_date: dt.date
+    """One batch's steps, each built once."""
+
+    def __init__(self, labelled: DataFrame, ingestion_date: dt.date, cleaned: DataFrame | None = None):
+        self.labelled = labelled
+        self.ingestion_date = ingestion_date
+        self._cleaned = cleaned
 
     @cached_property
     def accepted(self) -> DataFrame:
@@ -59,6 +61,8 @@ class Batch:
     def cleaned(self) -> DataFrame:
         """Persisted: it feeds the five star tables (the curated tables of
         the daily run)."""
+        if self._cleaned is not None:
+            return self._cleaned
         return clean.clean_transactions(self.accepted).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
@@ -111,11 +115,21 @@ class Scenario:
 
     # -- load sequence -----------------------------------------------------
     def _split(self, remainders, date) -> Batch:
-        """Labels are per row, so a batch is the labelled rows of its part
-        with its own ingestion date (no second parse)."""
+        """A batch of the rows whose InvoiceNo digits fall in ``remainders``.
+
+        Cleaning is per row except the whole-row dedup, and copies of a row
+        share their InvoiceNo, so they land in the same batch: cleaning the
+        batch equals taking its rows of the cleaned whole with the batch's
+        own date. The batch reuses that one persisted frame.
+        """
         k = invoice_digits()
-        part = self.labelled.where((k % 3).isin(list(remainders)))
-        return Batch(part.withColumn("ingestion_date", F.lit(date)), date)
+        part = (k % 3).isin(list(remainders))
+        date_col = F.lit(date)
+        return Batch(
+            self.labelled.where(part).withColumn("ingestion_date", date_col),
+            date,
+            cleaned=self.batch.cleaned.where(part).withColumn("ingestion_date", date_col),
+        )
 
     @cached_property
     def batch_a(self) -> Batch:
