@@ -92,3 +92,16 @@ def test_single_day_series_and_regional_start(spark):
     two = [r for r in rows if r.region_key == "r2"]
     assert min(r.forecast_date for r in two) == dt.date(2026, 1, 7)  # Q17: after its own last day
     assert all(r.forecast_run_date == dt.date(2026, 1, 6) for r in two)  # Q18
+
+
+def test_non_numeric_and_nan_revenue_count_as_zero(spark):
+    rows = [(dt.date(2026, 1, d), "r", "R", v, "1") for d, v in
+            [(1, "10"), (2, "abc"), (3, "NaN"), (4, None), (5, "30")]]
+    df = spark.createDataFrame(rows, "metric_date date, region_key string, region_name string, revenue string, returns string")
+    flags = anomaly.detect_anomalies(df, window=4, min_periods=3).orderBy("metric_date").collect()
+    assert [float(r.revenue) for r in flags] == [10.0, 0.0, 0.0, 0.0, 30.0]
+    assert float(flags[-1].revenue_baseline) == 2.5  # (10 + 0 + 0 + 0) / 4
+    levels = forecast.smoothing_levels(df).first()
+    assert levels.n_days == 5 and levels.level == levels.level  # no NaN
+    nan_df = daily(spark, [float("nan"), 5.0])
+    assert forecast.smoothing_levels(nan_df).first().level == 5.0 * (2.0 / 3.0)

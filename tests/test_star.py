@@ -70,3 +70,18 @@ def test_empty_batch_raises(raw_frame):
         assert "No valid transactions" in str(e)
     else:
         raise AssertionError("expected ValueError")
+
+
+def test_codes_stay_text_and_hash_ignores_customer_country_description(raw_frame):
+    rows = [("00123", "00042", "ONE", "1", "01/12/2010 08:00", "2.675", "7", "UK"),
+            ("00124", "00042", "TWO", "1", "01/12/2010 08:00", "1.0", None, "France")]
+    s = star_of(raw_frame, rows)
+    fact = {r.invoice_no: r for r in s["fact_sales"].collect()}
+    assert set(fact) == {"00123", "00124"}  # Q22: leading zeros kept
+    assert s["dim_product"].first().stock_code == "00042"
+    # Q27: the key hashes the full price text, the stored price is rounded to cents
+    assert fact["00123"].transaction_id == key("txn", "00123|00042|2010-12-01 08:00:00|1|2.675")
+    assert str(fact["00123"].unit_price) == "2.68"
+    # Q25: customer, country and description do not enter the key
+    other = star_of(raw_frame, [("00123", "00042", "ELSE", "1", "01/12/2010 08:00", "2.675", "9", "Spain")])
+    assert other["fact_sales"].first().transaction_id == fact["00123"].transaction_id

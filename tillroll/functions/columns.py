@@ -154,6 +154,12 @@ def lenient_timestamp(c: Column | str) -> Column:
     return parse_timestamp(strip_ws(col_(c).cast("string")))
 
 
+def numeric_or_zero(c: Column | str) -> Column:
+    """A number, with text that is not a number, NaN and null as 0.0."""
+    d = col_(c).try_cast("double")
+    return F.coalesce(F.when(~F.isnan(d), d), F.lit(0.0))
+
+
 def stable_key(prefix: str, c: Column | str) -> Column:
     """``prefix_`` + first 16 hex digits of SHA-1 of the text."""
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha1(col_(c).cast("string")), 1, 16))

@@ -30,11 +30,20 @@ def check_parameters(window: int, min_periods: int, z_threshold: float) -> None:
         raise ValueError("z_threshold must be below the high-severity bound 4.0")
 
 
-def _metric(name: str, w: Window, min_periods: int):
+def _metric(name: str, dtype: str, w: Window, min_periods: int):
     """Baseline (prior rows' mean), z-score, and the baseline rounded to
-    cents exactly (mean of decimals, half up)."""
-    x_dec = F.coalesce(F.col(name).cast("decimal(38,2)"), F.lit(0).cast("decimal(38,2)"))
-    x = x_dec.cast("double")
+    cents. Decimal input (the warehouse's money) is averaged exactly, so the
+    cents are right even at half-cent ties; any other input goes through the
+    lenient number rule (X6: not a number, NaN or null -> 0)."""
+    c = F.col(name)
+    if dtype.startswith("decimal"):
+        value = F.coalesce(c, F.lit(0).cast(dtype))
+        x = value.cast("double")
+        exact_mean = F.avg(value).over(w)
+    else:
+        value = C.numeric_or_zero(c)
+        x = value
+        exact_mean = F.avg(x).over(w)
     enough = F.count(x).over(w) >= F.lit(min_periods)
     mean = F.when(enough, F.avg(x).over(w))
     # Zero spread (every prior value equal) gives no z-score (Q14); testing
@@ -43,8 +52,8 @@ def _metric(name: str, w: Window, min_periods: int):
     sd = F.when(enough & spread, F.stddev_pop(x).over(w))
     z = (x - mean) / sd
     z = F.when(~F.isnan(z) & (F.abs(z) < F.lit(float("inf"))), z)  # X27
-    baseline_cents = F.when(enough, F.avg(x_dec).over(w)).cast("decimal(14,2)")
-    return x_dec, mean, baseline_cents, z
+    baseline_cents = F.when(enough, exact_mean).cast("decimal(14,2)")
+    return value, mean, baseline_cents, z
 
 
 def detect_anomalies(
@@ -62,8 +71,9 @@ def detect_anomalies(
     require_columns(daily, DAILY_COLUMNS, "daily metric")
     check_parameters(window, min_periods, z_threshold)
     w = Window.partitionBy("region_key").orderBy("metric_date").rowsBetween(-window, -1)
-    rev, rev_mean, rev_base, rev_z = _metric("revenue", w, min_periods)
-    ret, ret_mean, ret_base, ret_z = _metric("returns", w, min_periods)
+    types = dict(daily.dtypes)
+    rev, rev_mean, rev_base, rev_z = _metric("revenue", types["revenue"], w, min_periods)
+    ret, ret_mean, ret_base, ret_z = _metric("returns", types["returns"], w, min_periods)
 
     staged = daily.select(
         F.col("metric_date").cast("date").alias("metric_date"),

@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions import columns as C
 from tillroll.operators.validate import require_columns
 
 MODEL_NAME = "simple_exponential_smoothing"
@@ -38,7 +39,7 @@ def smoothing_levels(daily: DataFrame) -> DataFrame:
     require_columns(daily, ["metric_date", "region_key", "region_name", "revenue"], "forecast")
     region = ["region_key", "region_name"]
     per_day = daily.groupBy(*region, F.col("metric_date").cast("date").alias("day")).agg(
-        F.sum(F.coalesce(F.col("revenue").cast("double"), F.lit(0.0))).alias("x")  # F1 + X6
+        F.sum(C.numeric_or_zero("revenue")).alias("x")  # F1 + X6
     )
     w = Window.partitionBy(*region)
     staged = per_day.select(
