@@ -21,12 +21,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def partition_for_join(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on its join keys.
+    """Hash-partition ``df`` on its join keys, as a rebalance.
 
-    At scale this is the very shuffle a sort-merge join on ``keys`` needs
-    (Spark reuses it instead of adding another); on a small input read from
-    one row group it spreads all per-row work after the scan over the
-    cores instead of one task. The partition count is the session's, and
-    AQE may coalesce it to the data size.
+    At scale this is the shuffle a sort-merge join on ``keys`` needs; on a
+    small input read from one row group it spreads all per-row work after
+    the scan over the cores instead of one task. A rebalance (unlike a
+    plain repartition) lets AQE split a partition that one hot key makes
+    too large and merge small ones.
     """
-    return df.repartition(*keys)
+    return df.hint("rebalance", *keys)
