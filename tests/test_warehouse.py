@@ -115,16 +115,16 @@ def test_pure_merge_rules(spark, raw_frame):
     assert state.where(F.col("ingestion_date") == D2).count() == 2
 
 
-def test_anomaly_months_are_replaced_in_place(spark, tmp_path):
+def test_anomaly_years_are_replaced_in_place(spark, tmp_path):
     import os
     wh = Warehouse(spark, str(tmp_path / "wh"))
-    days = [dt.date(2026, m, d) for m in (1, 2, 3) for d in (1, 15)]
+    days = [dt.date(y, m, 1) for y in (2024, 2025, 2026) for m in (1, 6)]
     wh.persist_anomalies(_flags(spark, days, 1.0))
     assert sorted(os.listdir(tmp_path / "wh" / "anomaly_flags"))[-3:] == [
-        "metric_month=2026-01", "metric_month=2026-02", "metric_month=2026-03"]
-    # a batch covering Jan 15 .. Mar 1 with no February rows empties February
-    wh.persist_anomalies(_flags(spark, [dt.date(2026, 1, 15), dt.date(2026, 3, 1)], 5.0))
+        "metric_year=2024", "metric_year=2025", "metric_year=2026"]
+    # a batch covering 2024-06 .. 2026-01 with no 2025 rows empties 2025
+    wh.persist_anomalies(_flags(spark, [dt.date(2024, 6, 1), dt.date(2026, 1, 1)], 5.0))
     got = {r.metric_date: float(r.revenue) for r in wh.read("anomaly_flags").collect()}
-    assert got == {dt.date(2026, 1, 1): 1.0, dt.date(2026, 1, 15): 5.0,
-                   dt.date(2026, 3, 1): 5.0, dt.date(2026, 3, 15): 1.0}
-    assert "metric_month" not in wh.read("anomaly_flags").columns
+    assert got == {dt.date(2024, 1, 1): 1.0, dt.date(2024, 6, 1): 5.0,
+                   dt.date(2026, 1, 1): 5.0, dt.date(2026, 6, 1): 1.0}
+    assert "metric_year" not in wh.read("anomaly_flags").columns

@@ -33,7 +33,7 @@ DIMENSION_KEYS = {
     "dim_region": "region_key",
 }
 ANOMALY_KEY = ["metric_date", "region_key"]
-ANOMALY_PARTITION = "metric_month"
+ANOMALY_PARTITION = "metric_year"
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
 
 
@@ -219,28 +219,27 @@ class Warehouse:
 
     # -- W3 ----------------------------------------------------------------
     def persist_anomalies(self, flags: DataFrame, detected_at=None) -> None:
-        """W3 with a stamp. The table is partitioned by month of metric_date;
-        only the months inside the batch's range are rewritten (dynamic
+        """W3 with a stamp. The table is partitioned by year of metric_date;
+        only the years inside the batch's range are rewritten (dynamic
         partition overwrite from a reliable checkpoint), so a failed write
-        never leaves the table without its history and a rerun repairs it."""
+        never leaves the table without its history and a rerun repairs it.
+        Years, not days or months: the table holds a few rows per day, and
+        each run replaces the whole history it recomputed."""
         if flags.isEmpty():
             return
         stamp = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")
         new = schemas.conform(flags.withColumn("detected_at", stamp), "anomaly_flags")
         lo, hi = new.agg(F.min("metric_date"), F.max("metric_date")).first()
-        first_month, last_month = lo.strftime("%Y-%m"), hi.strftime("%Y-%m")
-        month = F.date_format("metric_date", "yyyy-MM")
+        year = F.year("metric_date")
         existing = self.read("anomaly_flags")
         if existing is not None:
-            existing = existing.where(month.between(first_month, last_month))
-        merged = cut_lineage(
-            replace_anomaly_range(existing, new).withColumn(ANOMALY_PARTITION, month)
-        )
-        written = {r[0] for r in merged.select(ANOMALY_PARTITION).distinct().collect()}  # months: calendar-bounded
+            existing = existing.where(year.between(lo.year, hi.year))
+        merged = cut_lineage(replace_anomaly_range(existing, new).withColumn(ANOMALY_PARTITION, year))
+        written = {r[0] for r in merged.select(ANOMALY_PARTITION).distinct().collect()}  # calendar-bounded
         if existing is not None:
-            stale = {r[0] for r in existing.select(month).distinct().collect()} - written
-            for m in stale:  # months left with no rows would keep their old folder
-                delete_path(self.spark, f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={m}")
+            stale = {r[0] for r in existing.select(year).distinct().collect()} - written
+            for y in stale:  # years left with no rows would keep their old folder
+                delete_path(self.spark, f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={y}")
         (
             merged.repartition(ANOMALY_PARTITION)
             .write.mode("overwrite")
