@@ -31,10 +31,16 @@ def norm(rows, order):
     return sorted((tuple(v(r[i]) for i in order) for r in rows), key=repr)
 
 
+SPARK_TO_SQL = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_oracle(spark, con, name):
     df = registered()[name](spark, SF)
     cols = df.columns
+    rel = con.sql(oracle_sql()[name])
+    assert {c: SPARK_TO_SQL.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)
