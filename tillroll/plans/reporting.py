@@ -36,3 +36,10 @@ def register_views(spark: SparkSession, warehouse_root: str) -> list[str]:
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+def query(spark: SparkSession, warehouse_root: str, sql: str, **params) -> DataFrame:
+    """SQL over the warehouse tables and views, with named parameters
+    (``:run_date`` style), as a lazy DataFrame."""
+    register_views(spark, warehouse_root)
+    return spark.sql(sql, args=params or None)
