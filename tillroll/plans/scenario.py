@@ -74,6 +74,7 @@ class Scenario:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._daily: dict = {}
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -102,8 +103,7 @@ class Scenario:
         return {k: v for k, v in self.batch.star.items() if k != "fact_sales"}
 
     def daily(self, run_date=None) -> DataFrame:
-        s = self.batch.star
-        return metrics.daily_metrics(self.fact, s["dim_date"], s["dim_region"], run_date)
+        return self.daily_of(self.fact, self.batch.star, run_date)
 
     @cached_property
     def flags(self) -> DataFrame:
@@ -169,4 +169,11 @@ class Scenario:
         }
 
     def daily_of(self, fact: DataFrame, dims: dict[str, DataFrame], run_date=None) -> DataFrame:
-        return metrics.daily_metrics(fact, dims["dim_date"], dims["dim_region"], run_date)
+        """Daily metrics of a fact state; persisted (one row per day and
+        region) because both models and the run-date lookups read them."""
+        key = (id(fact), id(dims["dim_date"]), run_date)
+        if key not in self._daily:
+            self._daily[key] = _stored(
+                metrics.daily_metrics(fact, dims["dim_date"], dims["dim_region"], run_date)
+            )
+        return self._daily[key]
