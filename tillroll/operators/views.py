@@ -16,7 +16,6 @@ from tillroll.functions import columns as C
 from tillroll.operators.joins import join_bounded
 
 
-
 def _units() -> F.Column:
     """SUM(quantity) FILTER (WHERE quantity > 0); null when none."""
     return F.sum(F.when(F.col("quantity") > 0, F.col("quantity").cast("bigint")))
