@@ -16,6 +16,10 @@ from tillroll.functions import columns as C
 from tillroll.operators.joins import join_bounded
 
 
+# One row per calendar day of years 1-9999: the most a day dimension can hold.
+CALENDAR_DAYS = 3_652_059
+
+
 def _units() -> F.Column:
     """SUM(quantity) FILTER (WHERE quantity > 0); null when none."""
     return F.sum(F.when(F.col("quantity") > 0, F.col("quantity").cast("bigint")))
@@ -26,20 +30,25 @@ def kpi_summary(
     dim_date: DataFrame,
     dim_customer: DataFrame,
     anomaly_flags: DataFrame,
+    customer_bound: int | None = None,
 ) -> DataFrame:
     """One row of headline numbers.
 
-    * J1 only supplies full_date for min/max: the fact's date keys are
-      reduced to distinct values first (tiny), then joined.
-    * J3 only supplies customer_id for one distinct count: distinct customer
-      keys of the fact (partial aggregation absorbs the UNKNOWN hot key) are
-      joined to the dimension, so the big fact is never shuffled by customer.
-      Fact rows are not re-filtered by the customer join: every fact key has
-      its dimension row (the loader writes dimensions first; C2 checks it).
+    * J1 and J3 as semi-joins first: only fact rows whose day and customer
+      exist in the dimensions count, as with the inner joins. The day keys
+      are bounded by the calendar, so they are broadcast; the customer keys
+      are broadcast when ``customer_bound`` proves them small, else the
+      semi-join shuffles and AQE splits the hot UNKNOWN key.
+    * full_date and customer_id then come from distinct keys only: the fact's
+      day keys and customer keys are reduced first (partial aggregation
+      absorbs hot keys), then joined to the dimensions.
     * J5, the left join to anomaly_flags on its primary key, adds no rows and
       no columns (Q19), so it is left out.
     * J8 is a scalar subquery.
     """
+    fact = join_bounded(fact, dim_date.select("date_key"), "date_key", "left_semi", small_bound=CALENDAR_DAYS)
+    fact = join_bounded(fact, dim_customer.select("customer_key"), "customer_key", "left_semi",
+                        small_bound=customer_bound)
     totals = fact.agg(
         F.count_distinct("invoice_no").alias("order_count"),
         F.count_distinct("product_key").alias("product_count"),

@@ -15,8 +15,11 @@ def warehouse_views(spark: SparkSession, warehouse_root: str, product_bound: int
     t = {name: wh.read_or_empty(name) for name in TABLES}
     if product_bound is None and wh.exists("dim_product"):
         product_bound = t["dim_product"].count()  # Parquet footers: cheap, proves the broadcast bound
+    customer_bound = t["dim_customer"].count() if wh.exists("dim_customer") else None
     return {
-        "vw_kpi_summary": views.kpi_summary(t["fact_sales"], t["dim_date"], t["dim_customer"], t["anomaly_flags"]),
+        "vw_kpi_summary": views.kpi_summary(
+            t["fact_sales"], t["dim_date"], t["dim_customer"], t["anomaly_flags"], customer_bound
+        ),
         "vw_sales_trend": views.sales_trend(t["fact_sales"], t["dim_date"], t["dim_region"]),
         "vw_region_category_breakdown": views.region_category_breakdown(
             t["fact_sales"], t["dim_region"], t["dim_product"], product_bound
