@@ -61,17 +61,20 @@ def _partition(root: str, area: str, part: str, d: dt.date) -> str:
 def ingest(spark: SparkSession, source: str, root: str, ingestion_date=None, multiline: bool = False) -> dict:
     """M2: read, validate, land four outputs; returns the validation report.
 
-    The labelled frame is persisted once and feeds the accepted, rejected
-    and report outputs (three jobs, one parse).
+    The source is parsed once into the raw landing copy (K1); the labelled
+    frame is built from that copy, persisted once, and feeds the accepted,
+    rejected and report outputs.
     """
     configure(spark)
     d = _date(ingestion_date)
-    raw = read_source(spark, source, multiline)
-    validate.require_columns(raw, validate.SOURCE_COLUMNS)
-    result = validate.validate(raw, d, persist=True)
+    source_rows = read_source(spark, source, multiline)
+    validate.require_columns(source_rows, validate.SOURCE_COLUMNS)
     paths = {part: _partition(root, "landing", part, d) for part in LANDING_PARTS}
+    # K1 first: the CSV is parsed once, validation reads the columnar copy.
+    source_rows.withColumn("source_file", F.input_file_name()).write.mode("overwrite").parquet(paths["raw"])
+    raw = spark.read.parquet(paths["raw"]).drop("source_file")
+    result = validate.validate(raw, d, persist=True)
     try:
-        raw.withColumn("source_file", F.input_file_name()).write.mode("overwrite").parquet(paths["raw"])
         result.accepted.drop("ingestion_date").write.mode("overwrite").parquet(paths["validated"])
         result.rejected.drop("ingestion_date").write.mode("overwrite").parquet(paths["rejected"])
         report = result.report.first().asDict(recursive=True)
