@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas
 from tillroll.operators.joins import anti_join_keys
 from tillroll.operators.star import FACT_COLUMNS
-from tillroll.session import cut_lineage
+from tillroll.session import cut_lineage, run_concurrently
 
 DIMENSION_KEYS = {
     "dim_product": "product_key",
@@ -189,10 +189,12 @@ class Warehouse:
         """Dimensions first, then the fact partition, so a failure in
         between leaves no fact key without its dimension row. Rerunning the
         same load gives the same tables."""
+        jobs = []
         for table, key in DIMENSION_KEYS.items():
             batch = schemas.conform(star[table], table)
             added = dimension_rows_to_add(self.read(table), batch, key)
-            added.write.mode("append").parquet(self.path(table))
+            jobs.append(lambda added=added, table=table: added.write.mode("append").parquet(self.path(table)))
+        run_concurrently(jobs)  # the four dimensions are independent of each other
         self.replace_fact_partition(star["fact_sales"], ingestion_date, batch_rows)
 
     def replace_fact_partition(self, batch: DataFrame, ingestion_date, batch_rows: int | None = None) -> None:

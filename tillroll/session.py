@@ -99,3 +99,19 @@ def cut_lineage(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def run_concurrently(actions) -> list:
+    """Run independent Spark actions as concurrent jobs.
+
+    Small jobs (a dimension write) leave most executors idle; submitting
+    them together lets the scheduler fill the cluster. Each action is a
+    zero-argument callable; errors propagate.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    actions = list(actions)
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        return [f.result() for f in [pool.submit(a) for a in actions]]
