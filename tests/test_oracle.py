@@ -31,8 +31,8 @@ def norm(rows, order):
     return sorted((tuple(v(r[i]) for i in order) for r in rows), key=repr)
 
 
-SPARK_TO_SQL = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
-                "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+SPARK_TO_SQL = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

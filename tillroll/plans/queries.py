@@ -12,21 +12,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, ShortType, ByteType
+from pyspark.sql.types import (
+    ByteType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    ShortType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tillroll import schemas
 from tillroll.operators import anomaly, checks, clean, forecast, validate, views, warehouse
 from tillroll.plans.scenario import BATCH_DATE, RUN_DATE, Scenario
 
 
+# Integer columns that may hold nulls; compared as DOUBLE so every client
+# reads them the same way (some turn nullable integers into floats).
+NULLABLE_INTEGERS = ["CustomerID", "Quantity", "units_sold"]
+
+
 def comparable(df: DataFrame) -> DataFrame:
+    """Engine-neutral output: DECIMAL -> DOUBLE, small integers -> BIGINT,
+    nullable integers -> DOUBLE, DATE -> 'yyyy-MM-dd' and TIMESTAMP ->
+    'yyyy-MM-dd HH:mm:ss' text (identical through collect, Arrow or pandas)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
-            c = c.cast("bigint")
+        elif isinstance(f.dataType, (IntegerType, ShortType, ByteType, LongType)):
+            c = c.cast("double") if f.name in NULLABLE_INTEGERS else c.cast("bigint")
+        elif isinstance(f.dataType, DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
