@@ -80,3 +80,16 @@ def test_source_suffix_is_checked(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError, match="Unsupported source format"):
         daily_run.read_source(spark, str(tmp_path / "x.xlsx"))
+
+
+def test_command_line_steps(spark, tmp_path, capsys):
+    from tillroll.__main__ import main
+    src = tmp_path / "t.csv"
+    write_csv(src, source_rows())
+    root = str(tmp_path / "lake")
+    assert main(["ingest", "--source", str(src), "--root", root, "--ingestion-date", "2026-07-21"]) == 0
+    assert '"accepted_rows": 80' in capsys.readouterr().out
+    assert main(["transform", "--root", root, "--ingestion-date", "2026-07-21"]) == 0
+    assert main(["anomalies", "--root", root, "--run-date", "2026-07-21"]) == 0
+    assert main(["forecast", "--root", root]) == 0
+    assert '"rows": 111' in capsys.readouterr().out.splitlines()[-1]
