@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll import schemas
 from tillroll.operators.joins import anti_join_keys
@@ -143,21 +145,20 @@ def replace_forecast_run(existing: DataFrame | None, new: DataFrame, run_date) -
 # File layer
 # ---------------------------------------------------------------------------
 
-def _jvm_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet folder, or None when it does not exist (or holds no files)."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hpath, fs = _jvm_path(spark, path)
-    return fs.exists(hpath)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    hpath, fs = _jvm_path(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
+def empty_partition(spark: SparkSession, table: str, partition_column: str, path: str) -> None:
+    """Replace one partition folder with a schema-only file: the partition
+    then holds no rows. (A dynamic overwrite with no rows would leave the old
+    folder in place.)"""
+    schema = StructType([f for f in schemas.TABLES[table].fields if f.name != partition_column])
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
 class Warehouse:
@@ -171,14 +172,14 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self.path(table))
+        return self.read(table) is not None
 
     def read(self, table: str) -> DataFrame | None:
-        """The table in its warehouse types; partition folders (and helper
-        partition columns such as ``metric_month``) are resolved here."""
-        if not self.exists(table):
-            return None
-        return schemas.conform(self.spark.read.parquet(self.path(table)), table)
+        """The table in its warehouse types, or None before its first write;
+        partition folders (and helper partition columns such as
+        ``metric_year``) are resolved here."""
+        df = read_parquet_or_none(self.spark, self.path(table))
+        return None if df is None else schemas.conform(df, table)
 
     def read_or_empty(self, table: str) -> DataFrame:
         df = self.read(table)
@@ -204,8 +205,8 @@ class Warehouse:
         others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
         rows = cut_lineage(fact_partition_rows(others, batch, batch_rows))
         if rows.isEmpty():
-            # Dynamic overwrite with no rows would keep the old partition.
-            delete_path(self.spark, f"{self.path('fact_sales')}/ingestion_date={d.isoformat()}")
+            empty_partition(self.spark, "fact_sales", "ingestion_date",
+                            f"{self.path('fact_sales')}/ingestion_date={d.isoformat()}")
             return
         # Every row carries the same ingestion_date, so each task writes its
         # own files into that one folder (no repartition: that would funnel
@@ -241,7 +242,8 @@ class Warehouse:
         if existing is not None:
             stale = {r[0] for r in existing.select(year).distinct().collect()} - written
             for y in stale:  # years left with no rows would keep their old folder
-                delete_path(self.spark, f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={y}")
+                empty_partition(self.spark, "anomaly_flags", ANOMALY_PARTITION,
+                                f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={y}")
         (
             merged.repartition(ANOMALY_PARTITION)
             .write.mode("overwrite")
@@ -266,7 +268,8 @@ class Warehouse:
         merged = replace_forecast_run(existing, new, d)
         merged = cut_lineage(merged)
         if existing is not None and merged.where(F.col("forecast_run_date") == F.lit(d)).isEmpty():
-            delete_path(self.spark, f"{self.path('revenue_forecasts')}/forecast_run_date={d.isoformat()}")
+            empty_partition(self.spark, "revenue_forecasts", "forecast_run_date",
+                            f"{self.path('revenue_forecasts')}/forecast_run_date={d.isoformat()}")
         (
             merged.repartition("forecast_run_date")
             .write.mode("overwrite")
