@@ -71,7 +71,9 @@ def ingest(spark: SparkSession, source: str, root: str, ingestion_date=None, mul
     validate.require_columns(source_rows, validate.SOURCE_COLUMNS)
     paths = {part: _partition(root, "landing", part, d) for part in LANDING_PARTS}
     # K1 first: the CSV is parsed once, validation reads the columnar copy.
-    source_rows.withColumn("source_file", F.input_file_name()).write.mode("overwrite").parquet(paths["raw"])
+    source_rows.select("*", F.col("_metadata.file_path").alias("source_file")).write.mode("overwrite").parquet(
+        paths["raw"]
+    )
     raw = spark.read.parquet(paths["raw"]).drop("source_file")
     result = validate.validate(raw, d, persist=True)
     try:
