@@ -25,7 +25,7 @@ from pyspark.sql.types import (
 
 from tillroll import schemas
 from tillroll.operators import anomaly, checks, clean, forecast, validate, views, warehouse
-from tillroll.plans.scenario import BATCH_DATE, RUN_DATE, Scenario
+from tillroll.plans.scenario import BATCH_DATE, RUN_DATE, Scenario, scenario
 
 
 # Integer columns that may hold nulls; compared as DOUBLE so every client
@@ -55,19 +55,19 @@ def comparable(df: DataFrame) -> DataFrame:
 # -- validation ---------------------------------------------------------------
 
 def validate_reason_counts(spark, sf):
-    return validate.reason_counts(Scenario(spark, sf).batch.labelled)
+    return validate.reason_counts(scenario(spark, sf).batch.labelled)
 
 
 def validate_accepted(spark, sf):
-    return Scenario(spark, sf).batch.accepted
+    return scenario(spark, sf).batch.accepted
 
 
 def validate_rejected(spark, sf):
-    return Scenario(spark, sf).batch.rejected
+    return scenario(spark, sf).batch.rejected
 
 
 def validate_totals(spark, sf):
-    report = validate.validation_report(Scenario(spark, sf).batch.labelled)
+    report = validate.validation_report(scenario(spark, sf).batch.labelled)
     return report.select(
         "source_rows", "accepted_rows", "rejected_rows",
         F.size("rejection_reasons").cast("bigint").alias("reason_kinds"),
@@ -77,44 +77,44 @@ def validate_totals(spark, sf):
 # -- cleaning -------------------------------------------------------------------
 
 def clean_transactions(spark, sf):
-    return Scenario(spark, sf).batch.cleaned
+    return scenario(spark, sf).batch.cleaned
 
 
 def clean_drop_counts(spark, sf):
-    return clean.cleaning_report(Scenario(spark, sf).batch.accepted)
+    return clean.cleaning_report(scenario(spark, sf).batch.accepted)
 
 
 def country_region(spark, sf):
-    cleaned = Scenario(spark, sf).batch.cleaned
+    cleaned = scenario(spark, sf).batch.cleaned
     return cleaned.groupBy("Country", "region_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # -- star schema ----------------------------------------------------------------
 
 def dim_product(spark, sf):
-    return Scenario(spark, sf).batch.star["dim_product"]
+    return scenario(spark, sf).batch.star["dim_product"]
 
 
 def dim_customer(spark, sf):
-    return Scenario(spark, sf).batch.star["dim_customer"]
+    return scenario(spark, sf).batch.star["dim_customer"]
 
 
 def dim_region(spark, sf):
-    return Scenario(spark, sf).batch.star["dim_region"]
+    return scenario(spark, sf).batch.star["dim_region"]
 
 
 def dim_date(spark, sf):
-    return Scenario(spark, sf).batch.star["dim_date"]
+    return scenario(spark, sf).batch.star["dim_date"]
 
 
 def fact_sales(spark, sf):
-    return Scenario(spark, sf).batch.star["fact_sales"]
+    return scenario(spark, sf).batch.star["fact_sales"]
 
 
 # -- loads ----------------------------------------------------------------------
 
 def load_dim_insert_if_absent(spark, sf):
-    dims = Scenario(spark, sf).dims_ab
+    dims = scenario(spark, sf).dims_ab
     product = dims["dim_product"].select(
         F.lit("dim_product").alias("dimension"), F.col("product_key").alias("member_key"),
         F.col("stock_code").alias("natural_key"), F.col("description").alias("attribute"),
@@ -127,22 +127,22 @@ def load_dim_insert_if_absent(spark, sf):
 
 
 def load_fact_first_write_wins(spark, sf):
-    return Scenario(spark, sf).fact_ab
+    return scenario(spark, sf).fact_ab
 
 
 def load_fact_rerun(spark, sf):
-    return Scenario(spark, sf).fact_rerun
+    return scenario(spark, sf).fact_rerun
 
 
 def anomaly_range_replace(spark, sf):
-    s = Scenario(spark, sf)
+    s = scenario(spark, sf)
     before = anomaly.detect_anomalies(s.daily_of(s.fact_ab, s.dims_ab))
     rerun = anomaly.detect_anomalies(s.daily_of(s.fact_rerun, s.dims_rerun, RUN_DATE))
     return warehouse.replace_anomaly_range(before, rerun)
 
 
 def forecast_run_replace(spark, sf):
-    s = Scenario(spark, sf)
+    s = scenario(spark, sf)
     daily_ab = s.daily_of(s.fact_ab, s.dims_ab)
     daily_rerun = s.daily_of(s.fact_rerun, s.dims_rerun)
     first = forecast.forecast_revenue(daily_ab)
@@ -158,32 +158,32 @@ def forecast_run_replace(spark, sf):
 # -- metrics and models -----------------------------------------------------------
 
 def daily_metrics(spark, sf):
-    return Scenario(spark, sf).daily()
+    return scenario(spark, sf).daily()
 
 
 def daily_metrics_bounded(spark, sf):
-    return Scenario(spark, sf).daily(RUN_DATE)
+    return scenario(spark, sf).daily(RUN_DATE)
 
 
 def anomaly_baselines(spark, sf):
-    return Scenario(spark, sf).flags.select(
+    return scenario(spark, sf).flags.select(
         "metric_date", "region_key", "revenue", "returns", "revenue_baseline",
         "returns_baseline", "revenue_zscore", "returns_zscore",
     )
 
 
 def anomaly_flags(spark, sf):
-    return Scenario(spark, sf).flags
+    return scenario(spark, sf).flags
 
 
 def anomaly_by_severity(spark, sf):
-    return Scenario(spark, sf).flags.groupBy("region_name", "severity", "anomaly_type").agg(
+    return scenario(spark, sf).flags.groupBy("region_name", "severity", "anomaly_type").agg(
         F.count(F.lit(1)).alias("region_days")
     )
 
 
 def forecast_levels(spark, sf):
-    levels = forecast.smoothing_levels(Scenario(spark, sf).daily())
+    levels = forecast.smoothing_levels(scenario(spark, sf).daily())
     return levels.select(
         "region_key", "region_name", "first_date", "last_date",
         F.col("n_days").cast("bigint").alias("n_days"),
@@ -193,35 +193,35 @@ def forecast_levels(spark, sf):
 
 
 def forecast_rows(spark, sf):
-    return Scenario(spark, sf).forecasts
+    return scenario(spark, sf).forecasts
 
 
 # -- views ------------------------------------------------------------------------
 
 def vw_kpi_summary(spark, sf):
-    s = Scenario(spark, sf)
+    s = scenario(spark, sf)
     d = s.dims()
     return views.kpi_summary(s.fact, d["dim_date"], d["dim_customer"], s.flags)
 
 
 def vw_sales_trend(spark, sf):
-    s = Scenario(spark, sf)
+    s = scenario(spark, sf)
     d = s.dims()
     return views.sales_trend(s.fact, d["dim_date"], d["dim_region"])
 
 
 def vw_region_category_breakdown(spark, sf):
-    s = Scenario(spark, sf)
+    s = scenario(spark, sf)
     d = s.dims()
     return views.region_category_breakdown(s.fact, d["dim_region"], d["dim_product"])
 
 
 def vw_anomalies(spark, sf):
-    return views.anomalies(Scenario(spark, sf).flags)
+    return views.anomalies(scenario(spark, sf).flags)
 
 
 def vw_revenue_forecast(spark, sf):
-    return views.revenue_forecast(Scenario(spark, sf).forecasts)
+    return views.revenue_forecast(scenario(spark, sf).forecasts)
 
 
 # -- checks -------------------------------------------------------------------------
@@ -237,15 +237,15 @@ def _loaded_tables(s: Scenario, with_batch_fact: bool = False) -> dict[str, Data
 
 def check_unique(spark, sf):
     """Before the load's dedup, so the transaction_id collisions (Q24) show."""
-    return checks.unique_report(_loaded_tables(Scenario(spark, sf), with_batch_fact=True))
+    return checks.unique_report(_loaded_tables(scenario(spark, sf), with_batch_fact=True))
 
 
 def check_foreign_keys(spark, sf):
-    return checks.foreign_key_report(_loaded_tables(Scenario(spark, sf)))
+    return checks.foreign_key_report(_loaded_tables(scenario(spark, sf)))
 
 
 def check_not_null(spark, sf):
-    tables = _loaded_tables(Scenario(spark, sf))
+    tables = _loaded_tables(scenario(spark, sf))
     tables["anomaly_flags"] = tables["anomaly_flags"].withColumn("detected_at", F.lit(BATCH_DATE).cast("timestamp"))
     tables["revenue_forecasts"] = tables["revenue_forecasts"].withColumn(
         "created_at", F.lit(BATCH_DATE).cast("timestamp"))

@@ -15,6 +15,7 @@ as one job per action.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -70,6 +71,24 @@ class Batch:
         return star.build_star_schema(self.cleaned, check_empty=False)
 
 
+_SCENARIOS: dict = {}
+
+
+def scenario(spark: SparkSession, sf_dir: str) -> "Scenario":
+    """The session's scenario over ``sf_dir``, built once: every registered
+    query then composes its result over the same frames (and their persisted
+    data) instead of rebuilding the upstream plans. A new Spark application
+    gets a new scenario."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a SparkContext handle
+        app = id(spark)
+    key = (app, os.path.abspath(sf_dir))
+    if key not in _SCENARIOS:
+        _SCENARIOS[key] = Scenario(spark, sf_dir)
+    return _SCENARIOS[key]
+
+
 class Scenario:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
