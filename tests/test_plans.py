@@ -41,3 +41,18 @@ def test_metric_bound_reaches_the_fact_scan(spark, raw_frame, tmp_path):
     fact_scans = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<date_key")]
     assert fact_scans and all("transaction_id" not in line for line in fact_scans)
     assert daily.count() == 10
+
+
+def test_kpi_day_filter_is_a_broadcast_semi_join(spark, raw_frame):
+    from pyspark.sql import functions as F
+    from tillroll.operators import views
+
+    rows = [(str(i), "A", "X", "1", f"{1 + i % 20:02d}/12/2010 08:00", "1.0", str(i % 3), "UK") for i in range(40)]
+    labelled = validate.label_rows(raw_frame(rows), dt.date(2026, 7, 21))
+    s = star.build_star_schema(clean.clean_transactions(validate.accepted_rows(labelled)))
+    flags = s["dim_region"].select(F.lit(False).alias("is_anomaly"))
+    kpi = views.kpi_summary(s["fact_sales"], s["dim_date"], s["dim_customer"], flags, customer_bound=3)
+    text = plan_text(kpi)
+    joins = text.split("BroadcastHashJoin")[1:]
+    assert sum("Join type: LeftSemi" in j.split("\n\n")[0] for j in joins) >= 2  # day and customer keys
+    assert kpi.first().order_count == 40
