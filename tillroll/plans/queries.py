@@ -1,9 +1,11 @@
 """Registered queries: one per operator group of the inventory, each a
 ``(spark, sf_dir) -> DataFrame`` over the whole test tables.
 
-Outputs are made engine-neutral at the end (DECIMAL -> DOUBLE, INT ->
-BIGINT) so they compare value for value with the SQL twins in
-``tillroll.plans.oracle``; inside, every step keeps the warehouse types.
+Outputs are made engine-neutral at the end (see ``comparable``) so they
+compare value for value with the SQL twins in ``tillroll.plans.oracle``;
+inside, every step keeps the warehouse types. The queries of one session
+compose over one shared ``Scenario`` (``scenario(spark, sf)``), whose
+persisted frames stand in for the tables the daily run writes.
 """
 
 from __future__ import annotations
