@@ -14,5 +14,39 @@ FROM (
 """
 
 
+NEAR_GROUPS = """
+WITH RECURSIVE
+words AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 2], ' ')
+                                    FOR i IN range(1, greatest(len(w) - 2, 1) + 1)]) AS s
+    FROM words WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+    WHERE 100 * shared >= 85 * (sa.n + sb.n - shared)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM words
+    UNION
+    SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, r.component_id, w.doc_id = r.component_id AS kept
+FROM words w LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": EXACT_DEDUP}
+    return {"op8_hyperminhash": NEAR_GROUPS, "op10_exact_dedup": EXACT_DEDUP}

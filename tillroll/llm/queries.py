@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup, packing, token_store
+from tillroll.llm import exact_dedup, hyperminhash, license_scan, packing, secret_scan, token_store, winnowing
 from tillroll.sources.tables import read_table
 
 
@@ -26,17 +26,37 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_digest(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("detections")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end_id=0)
     return packing.with_checksums(pieces)
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secret_spans(documents(spark, sf_dir)))
+
+
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.edit_likeness(documents(spark, sf_dir))
+
+
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_groups(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_winnowing": op7_winnowing,
+    "op8_hyperminhash": op8_hyperminhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
