@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, hyperminhash, license_scan, packing, secret_scan, token_store, winnowing
+from tillroll.llm import exact_dedup, hyperminhash, license_scan, mil_quality, packing, secret_scan, token_store, winnowing
 from tillroll.sources.tables import read_table
 
 
@@ -35,6 +36,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_checksums(pieces)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), read_table(spark, sf_dir, "labels")
+    model = mil_quality.learn(docs, labels, usable=~mil_quality.held_out())
+    return mil_quality.quality_scores(docs, model).select(
+        "doc_id", mil_quality.held_out().alias("held_out"), "score",
+        (F.col("score") >= mil_quality.ACCEPT).cast("int").alias("predicted"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secret_spans(documents(spark, sf_dir)))
 
@@ -55,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_secret_scan": op6_secret_scan,
     "op7_winnowing": op7_winnowing,
     "op8_hyperminhash": op8_hyperminhash,
