@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +51,21 @@ def text_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return values.cast(pa.large_binary() if wide else pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, rows: int = 256, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``rows`` rows and about ``most_bytes`` of
+    text (a longer row is a part of its own)."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        fit = int(np.searchsorted(ends, before + most_bytes, "right"))
+        end = min(batch.num_rows, at + rows, max(at + 1, fit))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def crc32_of_id(column: str = "doc_id"):

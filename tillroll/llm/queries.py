@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, hyperminhash, license_scan, mil_quality, packing, secret_scan, token_store, winnowing
+from tillroll.llm import exact_dedup, hyperminhash, license_scan, mil_quality, packing, piece_sampling, secret_scan, token_store, winnowing
 from tillroll.sources.tables import read_table
 
 
@@ -56,6 +56,15 @@ def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_groups(documents(spark, sf_dir), k=3, percent=85)
 
 
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("piece_bpe_32k.model")
+    pieces = piece_sampling.sample_pieces(documents(spark, sf_dir), path)
+    decoded_sha256 = F.sha2(F.col("text").cast("binary"), 256)
+    return piece_sampling.decode_pieces(pieces, path).select(
+        "doc_id", "n_pieces", "ids_crc32", decoded_sha256.alias("decoded_sha256"),
+        (decoded_sha256 == F.col("text_sha256")).alias("lossless"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -68,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op7_winnowing": op7_winnowing,
     "op8_hyperminhash": op8_hyperminhash,
+    "op9_piece_sampling": op9_piece_sampling,
     "op10_exact_dedup": op10_exact_dedup,
 }
