@@ -144,6 +144,11 @@ def _fold_documents(room: int):
 BUCKET_SCHEMA = ("run_id long, digest binary, content binary, best_id long, best_at int, copies long, "
                  "runs array<long>, best_run long, keep_id long, keep_at int, group_size long")
 
+BUCKET = pa.schema([
+    ("run_id", pa.int64()), ("digest", pa.binary()), ("content", pa.binary()), ("best_id", pa.int64()),
+    ("best_at", pa.int32()), ("copies", pa.int64()), ("runs", pa.list_(pa.int64())), ("best_run", pa.int64()),
+    ("keep_id", pa.int64()), ("keep_at", pa.int32()), ("group_size", pa.int64())])
+
 
 def _solve_bucket(room: int):
     """Reduce side: resolve what fits, hand the rest on as spill rows.
@@ -153,7 +158,6 @@ def _solve_bucket(room: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
         table = ContentTable(room)
         best: list[tuple] = []
         copies: list[int] = []
@@ -178,26 +182,17 @@ def _solve_bucket(room: int):
                     runs[entry].extend(columns[6][i])
                 if spill:
                     kept = part.take(pa.array(spill))
-                    none = pa.nulls(len(spill))
-                    yield pa.RecordBatch.from_arrays(
-                        [*kept.columns, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()),
-                         none.cast(pa.int64())], schema=_bucket_schema(kept))
+                    kept = [c.cast(f.type) for c, f in zip(kept.columns, BUCKET)]
+                    rest = [pa.nulls(len(spill), f.type) for f in list(BUCKET)[len(kept):]]
+                    yield pa.RecordBatch.from_arrays([*kept, *rest], schema=BUCKET)
         for at in range(0, len(best), 2000):
-            b, n = best[at:at + 2000], len(best[at:at + 2000])
-            yield _arrow({
-                "run_id": ([None] * n, pa.int64()), "digest": ([None] * n, pa.binary()),
-                "content": ([None] * n, pa.binary()), "best_id": ([None] * n, pa.int64()),
-                "best_at": ([None] * n, pa.int32()), "copies": (copies[at:at + 2000], pa.int64()),
-                "runs": (runs[at:at + 2000], pa.list_(pa.int64())),
-                "best_run": ([-r[1] for r in b], pa.int64()),
-                "keep_id": ([r[3] for r in b], pa.int64()),
-                "keep_at": ([-r[2] for r in b], pa.int32()),
-                "group_size": (copies[at:at + 2000], pa.int64()),
-            })
-
-    def _bucket_schema(kept):
-        return pa.schema([*kept.schema, pa.field("best_run", pa.int64()), pa.field("keep_id", pa.int64()),
-                          pa.field("keep_at", pa.int32()), pa.field("group_size", pa.int64())])
+            b = best[at:at + 2000]
+            own = {
+                "copies": copies[at:at + 2000], "runs": runs[at:at + 2000], "best_run": [-r[1] for r in b],
+                "keep_id": [r[3] for r in b], "keep_at": [-r[2] for r in b], "group_size": copies[at:at + 2000],
+            }
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own.get(f.name, [None] * len(b)), f.type) for f in BUCKET], schema=BUCKET)
 
     return run
 

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, hyperminhash, license_scan, mil_quality, packing, piece_sampling, secret_scan, token_store, winnowing
+from tillroll.llm import (
+    context_mixing,
+    exact_dedup,
+    hyperminhash,
+    license_scan,
+    mil_quality,
+    packing,
+    piece_sampling,
+    secret_scan,
+    token_store,
+    winnowing,
+)
 from tillroll.sources.tables import read_table
 
 
@@ -27,6 +38,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_digest(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_texts(documents(spark, sf_dir))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("detections")
 
@@ -71,6 +86,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_context_mixing": op2_context_mixing,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
