@@ -113,3 +113,60 @@ def test_report_counts_reasons(raw_frame):
     report = validate.validate(raw_frame(rows), DAY).report.first()
     assert (report.source_rows, report.accepted_rows, report.rejected_rows) == (4, 1, 3)
     assert dict(report.rejection_reasons) == {"missing_invoiceno": 1, "invalid_quantity": 2}
+
+
+def test_timestamps_in_other_forms(spark):
+    import datetime as dt
+
+    from tillroll.functions import columns as C
+
+    noon = dt.datetime(2010, 12, 1, 8, 26)
+    forms = {
+        "01/12/2010 08:26": noon, "01-12-2010 08:26": noon, "01.12.2010 8:26": noon, "01/12/10 08:26": noon,
+        "2010-12-01T08:26:00Z": noon, "2010-12-01 08:26:00+00:00": noon, "2010-12-01 08:26:00-0530": noon,
+        "2010-12-01 08:26:00.123": noon.replace(microsecond=123000), "2010-12-01T08:26:00.123456Z": noon.replace(microsecond=123456),
+        "01/12/2010 8:26 AM": noon, "01/12/2010 08:26pm": noon.replace(hour=20), "1 Dec 2010 08:26": noon,
+        "1 December 2010": dt.datetime(2010, 12, 1), "01-dec-2010": dt.datetime(2010, 12, 1),
+        "2010/12/01 08:26": noon, "01.12.2010": dt.datetime(2010, 12, 1), "01/12/70": dt.datetime(1970, 12, 1),
+        "12/31/2010 08:26": None, "not a date": None, "2010-13-01": None, "2010-12-01 08:26:00 nowhere": None,
+    }
+    df = spark.createDataFrame([(k,) for k in forms], "s string")
+    got = {r.s: r.t for r in df.select("s", C.lenient_timestamp("s").alias("t")).collect()}
+    assert got == forms
+
+
+def test_ids_beyond_2_53_stay_apart(raw_frame):
+    from tillroll.operators import validate
+
+    rows = [("1", "A", "X", "1", "01/12/2010 08:00", "1.0", c, "UK")
+            for c in ("9007199254740993", "9007199254740992", "12345.0", "1e3")]
+    got = validate.label_rows(raw_frame(rows), "2026-07-21").collect()
+    assert [r.CustomerID for r in got] == [9007199254740993, 9007199254740992, 12345, 1000]
+
+
+def test_out_of_range_rows_are_rejected_alone(raw_frame):
+    from tillroll.operators import clean, star, validate
+
+    rows = [("1", "A", "X", "3000000000", "01/12/2010 08:00", "1.0", "5", "UK"),
+            ("2", "A", "X", "1", "01/12/2010 08:00", "1e12", "5", "UK"),
+            ("3", "A", "X", "2000000", "01/12/2010 08:00", "900000", "5", "UK"),
+            ("4", "A", "X", "2", "01/12/2010 08:00", "1.0", "5", "UK")]
+    labelled = validate.label_rows(raw_frame(rows), "2026-07-21")
+    assert [r.rejection_reason for r in labelled.collect()] == [
+        "out_of_range_quantity", "out_of_range_unit_price", "out_of_range_unit_price", None]
+    tables = star.build_star_schema(clean.clean_transactions(validate.accepted_rows(labelled)))
+    assert tables["fact_sales"].count() == 1
+
+
+def test_validated_text_frame_follows_the_same_rules(raw_frame):
+    """S3: null tokens in every column, and a fractional quantity is none."""
+    from tillroll.operators import clean
+
+    when = "2010-12-01 08:00:00"
+    rows = [("NA", "A", "X", "1", when, "1.0", "5", "UK"), ("2", "A", "NA", "2", when, "2.5", "5", "UK"),
+            ("3", "A", "X", "2.5", when, "1.0", "5", "UK"), ("4", "A", "X", "-0.5", when, "2.0", "5", "UK"),
+            ("5", "A", "X", "-3", when, "2.0", None, "UK")]
+    got = {r.InvoiceNo: r for r in clean.clean_transactions(raw_frame(rows), "2026-07-21").collect()}
+    assert set(got) == {"2", "5"}
+    assert got["2"].Description == "Unknown product" and got["2"].net_sales == 5.0
+    assert got["5"].return_amount == 6.0 and got["5"].is_return and got["5"].net_sales == 0.0

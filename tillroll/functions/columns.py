@@ -91,6 +91,20 @@ TIMESTAMP_FORMATS = [
     "yyyy-M-d'T'H:mm[:ss]",
 ]
 
+# Forms tried on normalized text only.
+RARE_TIMESTAMP_FORMATS = [
+    "d/M/yyyy H:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "yyyy-M-d H:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "yyyy-M-d'T'H:mm:ss.[SSSSSS][SSSSS][SSSS][SSS][SS][S]",
+    "d/M/yyyy h:mm[:ss] a",
+    "yyyy-M-d h:mm[:ss] a",
+    "d MMM yyyy[ H:mm[:ss]]",
+]
+
+# Bounds of the fact table's types: INT quantities, DECIMAL(14, 2) money.
+MAX_QUANTITY = 2**31 - 1
+MAX_MONEY = 1e12 - 0.01
+
 # White space as Python's ``str.strip`` sees it (every character for which
 # ``str.isspace`` holds), not only the ASCII blank Spark's ``trim`` removes.
 # Derived from that rule rather than listed.
@@ -126,17 +140,50 @@ def finite(d: Column | str) -> Column:
     return F.when(F.abs(d) < F.lit(_INF), d)
 
 
+def exact_long(c: Column | str) -> Column:
+    """Text of digits alone as BIGINT, exact beyond 2^53; else null."""
+    c = col_(c).cast("string")
+    return F.when(c.rlike(r"^\s*[+-]?\d{1,19}\s*$"), F.btrim(c, F.lit(WHITESPACE)).try_cast("bigint"))
+
+
 def whole_number(d: Column | str) -> Column:
     """X7 + Q4: a finite whole double within BIGINT, else null."""
     d = col_(d)
     return F.when((F.abs(d) < F.lit(_INF)) & (d == F.floor(d)), d.try_cast("bigint"))
 
 
+def _one_date_form(s: Column) -> Column:
+    """Other ways to write a timestamp, brought to the forms of
+    ``TIMESTAMP_FORMATS`` and ``RARE_TIMESTAMP_FORMATS``: the zone behind a
+    time goes (the wall clock stays), day-first dates get slashes and full
+    years, year-first ones dashes, and AM/PM stands alone in capitals."""
+    s = F.regexp_replace(s, r"(?i)^(.*\d:\d\d(?::\d\d(?:\.\d+)?)?(?:\s*[ap]m)?)\s*(?:z|utc|gmt|[+-]\d\d:?\d\d)$", "$1")
+    s = F.regexp_replace(s, r"^(\d{1,2})[-./](\d{1,2})[-./](\d{4}|\d{2})(?!\d)", "$1/$2/$3")
+    s = F.regexp_replace(s, r"^(\d{4})[./](\d{1,2})[./](\d{1,2})(?!\d)", "$1-$2-$3")
+    # Fixed rule of two-digit years: 69 to 99 are of the last century.
+    s = F.regexp_replace(s, r"^(\d{1,2}/\d{1,2}/)([0-5]\d|6[0-8])(?!\d)", "$120$2")
+    s = F.regexp_replace(s, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)(?!\d)", "$119$2")
+    s = F.regexp_replace(s, r"(\d\.\d{6})\d+$", "$1")
+    s = F.regexp_replace(s, r"(?i)\s*\ba\.?m\.?$|(?<=\d)a\.?m\.?$", " AM")
+    s = F.regexp_replace(s, r"(?i)\s*\bp\.?m\.?$|(?<=\d)p\.?m\.?$", " PM")
+    named = F.regexp_replace(s, r"^(\d{1,2})[-\s]([A-Za-z]{3})[A-Za-z]*[-,\s]+(\d{4})", "$1 $2 $3")
+    month = F.regexp_extract(named, r"^\d{1,2} ([A-Za-z]{3}) ", 1)
+    return F.when(month == "", s).otherwise(F.replace(named, month, F.initcap(month)))
+
+
 def parse_timestamp(s: Column | str) -> Column:
-    """X8/X9 on stripped text: day-first forms, then ISO, first that parses."""
+    """X8/X9 on stripped text: day-first forms, then ISO, first that parses;
+    then the same with other separators, short years, fractions of seconds,
+    zones (dropped), AM/PM and English month names."""
     s = col_(s)
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS])
-    return parsed.cast("timestamp_ntz")
+
+    def first_of(text: Column, formats: list[str]) -> Column:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])
+
+    # The array binds the normalized text, so it is worked out once, and only
+    # for text that the plain forms do not parse.
+    other = F.transform(F.array(_one_date_form(s)), lambda t: first_of(t, TIMESTAMP_FORMATS + RARE_TIMESTAMP_FORMATS))
+    return F.coalesce(first_of(s, TIMESTAMP_FORMATS), F.get(other, F.lit(0))).cast("timestamp_ntz")
 
 
 def finite_double(c: Column | str) -> Column:
@@ -146,7 +193,7 @@ def finite_double(c: Column | str) -> Column:
 
 def lenient_long(c: Column | str) -> Column:
     """X5 + X7 in one expression (for single use; stage it when reused)."""
-    return whole_number(lenient_double(c))
+    return F.coalesce(exact_long(c), whole_number(lenient_double(c)))
 
 
 def lenient_timestamp(c: Column | str) -> Column:
@@ -171,11 +218,6 @@ def date_key(c: Column | str) -> Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
-def date_of_key(c: Column | str) -> Column:
-    """Inverse of ``date_key``."""
-    return F.to_date(col_(c).cast("string"), "yyyyMMdd")
-
-
 def country_to_region(c: Column | str) -> Column:
     """Country -> United Kingdom / Europe / Other."""
     normalized = F.lower(strip_ws(col_(c)))

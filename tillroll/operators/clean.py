@@ -7,22 +7,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tillroll.functions import columns as C
-from tillroll.operators.validate import SOURCE_COLUMNS, _date_lit, require_columns
+from tillroll.operators.validate import MALFORMED, SOURCE_COLUMNS, _date_lit, require_columns
 
 
 def _typed(df: DataFrame) -> DataFrame:
-    """Coerce a validated frame that arrives as text (a CSV read, S3 path)."""
+    """Coerce a validated frame that arrives as text (a CSV read, S3 path):
+    null tokens in every source column, then the parsers validation uses, so
+    a fractional quantity is no quantity and its row is dropped."""
+    if MALFORMED in df.columns:  # a record without the header's fields is no row
+        df = df.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
     types = dict(df.dtypes)
-    out = df
-    if types.get("Quantity") == "string":
-        out = out.withColumn("Quantity", C.finite_double(C.null_tokens("Quantity")))
-    if types.get("UnitPrice") == "string":
-        out = out.withColumn("UnitPrice", C.finite_double(C.null_tokens("UnitPrice")))
-    if types.get("InvoiceDate") == "string":
-        out = out.withColumn("InvoiceDate", C.lenient_timestamp(C.null_tokens("InvoiceDate")))
-    if types.get("CustomerID") == "string":
-        out = out.withColumn("CustomerID", C.lenient_long(C.null_tokens("CustomerID")))
-    return out
+    text = [c for c in SOURCE_COLUMNS if types.get(c) == "string"]
+    if not any(types.get(c) == "string" for c in ("Quantity", "UnitPrice", "InvoiceDate", "CustomerID")):
+        return df
+    out = df.withColumns({c: C.null_tokens(c) for c in text})
+    parsers = {"Quantity": C.lenient_long, "UnitPrice": C.finite_double, "InvoiceDate": C.lenient_timestamp,
+               "CustomerID": C.lenient_long}
+    return out.withColumns({c: f(c) for c, f in parsers.items() if c in text})
 
 
 def _dedup_columns(df: DataFrame) -> list[str]:

@@ -29,6 +29,9 @@ RAW_KEPT = {
     "CustomerID": "raw_customer_id",
 }
 REASON = "rejection_reason"
+# Text of a source record that does not have the header's number of fields.
+MALFORMED = "_corrupt_record"
+RAW_RECORD = "raw_record"
 
 
 def require_columns(df: DataFrame, required, what: str = "required") -> None:
@@ -54,7 +57,10 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
     outgrows the 64 KB limit of a generated method).
     """
     require_columns(raw, SOURCE_COLUMNS)
-    extras = [c for c in raw.columns if c not in SOURCE_COLUMNS and c != "ingestion_date"]
+    extras = [c for c in raw.columns if c not in SOURCE_COLUMNS and c not in ("ingestion_date", MALFORMED)]
+    if MALFORMED in raw.columns:
+        raw = raw.withColumnRenamed(MALFORMED, RAW_RECORD)
+        extras.append(RAW_RECORD)
     date_col = _date_lit(ingestion_date) if ingestion_date is not None else F.col("ingestion_date")
 
     # 1. null tokens; keep the text of the columns that get typed
@@ -76,17 +82,22 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
         "*",
         C.whole_number("_q").alias("_quantity"),
         C.finite("_p").alias("_unit_price"),
-        C.whole_number("_c").alias("_customer_id"),
+        F.coalesce(C.exact_long("CustomerID"), C.whole_number("_c")).alias("_customer_id"),
         C.parse_timestamp("_d").alias("_invoice_date"),
     )
     # 4. first failing rule
-    rules = [F.when(F.col(c).isNull(), F.lit(f"missing_{c.lower()}")) for c in MISSING_ORDER]
+    rules = [F.when(F.col(RAW_RECORD).isNotNull(), F.lit("malformed_row"))] if RAW_RECORD in extras else []
+    rules += [F.when(F.col(c).isNull(), F.lit(f"missing_{c.lower()}")) for c in MISSING_ORDER]
     rules += [
         F.when(F.col("Description").isNull(), F.lit("missing_description")),
         F.when(F.col("_quantity").isNull(), F.lit("invalid_quantity")),
         F.when(F.col("_unit_price").isNull(), F.lit("invalid_unit_price")),
         F.when(F.col("_invoice_date").isNull(), F.lit("invalid_invoice_date")),
         F.when(F.col("CustomerID").isNotNull() & F.col("_customer_id").isNull(), F.lit("invalid_customer_id")),
+        # Rows the warehouse types cannot hold are rejected one by one.
+        F.when(F.abs("_quantity") > C.MAX_QUANTITY, F.lit("out_of_range_quantity")),
+        F.when((F.abs("_unit_price") >= C.MAX_MONEY) | (F.abs(F.col("_quantity") * F.col("_unit_price")) >= C.MAX_MONEY),
+               F.lit("out_of_range_unit_price")),
     ]
     return typed.select(
         "InvoiceNo",
@@ -106,7 +117,7 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
 
 def accepted_rows(labelled: DataFrame) -> DataFrame:
     """V4: rows without a reason, typed; raw text columns dropped."""
-    return labelled.where(F.col(REASON).isNull()).drop(REASON, *RAW_KEPT.values())
+    return labelled.where(F.col(REASON).isNull()).drop(REASON, RAW_RECORD, *RAW_KEPT.values())
 
 
 def rejected_rows(labelled: DataFrame) -> DataFrame:
