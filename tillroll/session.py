@@ -3,8 +3,10 @@ checkpoint folder used to cut lineage before overwriting a table."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,12 +32,21 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Local mode runs everything in the driver JVM.
+# A local master given by the caller runs everything in the driver JVM.
 LOCAL_CONF = {
     "spark.driver.memory": "16g",
 }
 
 
+def submitted(key: str) -> bool:
+    """Whether the deployment set ``key`` for this application already: on
+    the command line of spark-submit or in the driver's own configuration."""
+    from pyspark import SparkConf
+
+    return SparkConf().contains(key) or f"--conf {key}=" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or (
+        key == "spark.driver.memory" and "--driver-memory" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+
+
 def build_session(
     app_name: str = "tillroll",
     master: str | None = None,
@@ -46,8 +57,9 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if master is None or master.startswith("local"):
+    if master and master.startswith("local"):
         conf.update(LOCAL_CONF)
+    conf = {k: v for k, v in conf.items() if not submitted(k)}
     conf.update(REQUIRED_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -64,7 +76,6 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the required settings to an existing session."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return spark
 
 
@@ -101,6 +112,20 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def staged(df):
+    """``df`` written to a folder of its own in the shared checkpoint folder
+    and read back; the folder is deleted when the block ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_concurrently(actions) -> list:
     """Run independent Spark actions as concurrent jobs.
 
