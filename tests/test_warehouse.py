@@ -33,7 +33,7 @@ def test_rerun_same_date_is_idempotent(spark, raw_frame, tmp_path):
     s = star_of(raw_frame, rows(6), D1)
     wh.load_star(s, D1)
     first = fact_ids(wh)
-    wh.load_star(s, D1, batch_rows=6)
+    wh.load_star(s, D1)
     assert fact_ids(wh) == first and len(first) == 6
     assert wh.read("dim_product").count() == 3
 
@@ -43,7 +43,7 @@ def test_first_write_wins_and_shrinking_rerun(spark, raw_frame, tmp_path):
     wh.load_star(star_of(raw_frame, rows(6), D1), D1)              # A: 0..5
     wh.load_star(star_of(raw_frame, rows(6, start=3), D2), D2)     # B: 3..8, 3..5 already held by A
     assert len(fact_ids(wh, D1)) == 6 and len(fact_ids(wh, D2)) == 3
-    wh.load_star(star_of(raw_frame, rows(2), D1), D1, batch_rows=2)  # A rerun with 0..1 only
+    wh.load_star(star_of(raw_frame, rows(2), D1), D1)  # A rerun with 0..1 only
     assert len(fact_ids(wh, D1)) == 2
     assert len(fact_ids(wh, D2)) == 3  # Q12: 2..5 are gone until B is rerun
     wh.load_star(star_of(raw_frame, rows(6, start=3), D2), D2)

@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--source", required=True)
     ingest.add_argument("--root", required=True)
     ingest.add_argument("--ingestion-date", type=dt.date.fromisoformat)
-    ingest.add_argument("--multiline", action="store_true")
+    ingest.add_argument("--multiline", action="store_true", default=None)
     transform = sub.add_parser("transform")
     transform.add_argument("--root", required=True)
     transform.add_argument("--ingestion-date", required=True, type=dt.date.fromisoformat)
@@ -41,6 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     daily.add_argument("--source", required=True)
     daily.add_argument("--root", required=True)
     daily.add_argument("--ingestion-date", type=dt.date.fromisoformat)
+    daily.add_argument("--multiline", action="store_true", default=None)
     views = sub.add_parser("views")
     views.add_argument("--root", required=True)
     views.add_argument("--show", type=int, default=20)
@@ -60,7 +61,7 @@ def main(argv=None) -> int:
     elif args.step == "forecast":
         out = {"rows": daily_run.run_forecast(spark, args.root, run_date=args.run_date).count()}
     elif args.step == "daily":
-        out = daily_run.run_daily(spark, args.source, args.root, args.ingestion_date)
+        out = daily_run.run_daily(spark, args.source, args.root, args.ingestion_date, args.multiline)
     else:
         for name, df in reporting.warehouse_views(spark, f"{args.root.rstrip('/')}/warehouse").items():
             print(f"== {name}")

@@ -13,17 +13,12 @@ from tillroll.functions import columns as C
 from tillroll.operators.validate import require_columns
 
 DAILY_COLUMNS = ["metric_date", "region_key", "region_name", "revenue", "returns"]
-FLAG_COLUMNS = [
-    "metric_date", "region_key", "region_name", "revenue", "returns", "revenue_baseline",
-    "returns_baseline", "revenue_zscore", "returns_zscore", "is_anomaly", "anomaly_type",
-    "severity_score", "severity",
-]
 
 
 def check_parameters(window: int, min_periods: int, z_threshold: float) -> None:
     """V11 and Q15 as explicit errors."""
     if window < 2 or min_periods < 2:
-        raise ValueError("window and min_periods must both be at least 2")
+        raise ValueError("a rolling baseline needs window >= 2 and min_periods >= 2")
     if min_periods > window:
         raise ValueError("min_periods must not exceed window")
     if z_threshold >= C.HIGH_SEVERITY:

@@ -57,16 +57,6 @@ def unique_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose reference is absent (``left_anti``).
-
-    The parent side is reduced to distinct keys first; a dimension is small
-    next to the fact, and AQE broadcasts it when its runtime size allows.
-    """
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.join(keys, column, "left_anti")
-
-
 def foreign_key_report(tables: dict[str, DataFrame]) -> DataFrame:
     """C2 per constraint: rows whose reference is absent.
 

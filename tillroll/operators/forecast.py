@@ -21,16 +21,12 @@ from tillroll.functions import columns as C
 from tillroll.operators.validate import require_columns
 
 MODEL_NAME = "simple_exponential_smoothing"
-FORECAST_COLUMNS = [
-    "forecast_run_date", "forecast_date", "region_key", "region_name",
-    "horizon_days", "forecast_revenue", "model_name",
-]
 
 
 def check_horizons(horizons) -> tuple[int, ...]:
     horizons = tuple(int(h) for h in horizons)
     if not horizons or any(h <= 0 for h in horizons):
-        raise ValueError("horizons must contain positive day counts")
+        raise ValueError("every horizon must be a number of days above zero")
     return horizons
 
 

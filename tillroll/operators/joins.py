@@ -1,33 +1,13 @@
-"""Join helpers that decide broadcast versus shuffle from a proven bound."""
+"""Join helper: broadcast only what is small by construction."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we broadcast on a caller-supplied bound. Keys here are
-# ~40-byte strings, so this is a few hundred MB at most per executor.
-MAX_BROADCAST_ROWS = 5_000_000
 
-
-def anti_join_keys(rows: DataFrame, stored_keys: DataFrame, key: str, rows_bound: int | None) -> DataFrame:
-    """``rows`` whose ``key`` is absent from ``stored_keys``.
-
-    With a known small bound on ``rows`` the batch keys are broadcast and the
-    stored keys are probed map-side (a semi-join that never shuffles the big
-    table); only the few collisions go back into an anti-join. Without a
-    bound, a plain shuffled anti-join, with AQE handling skew.
-    """
-    if rows_bound is not None and rows_bound <= MAX_BROADCAST_ROWS:
-        batch_keys = rows.select(key)
-        collisions = stored_keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
-        return rows.join(F.broadcast(collisions), key, "left_anti")
-    return rows.join(stored_keys, key, "left_anti")
-
-
-def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner", small_bound: int | None = None) -> DataFrame:
-    """Join, broadcasting ``small`` only when its row count is bounded by
-    construction or by a check (``small_bound``); else let Spark choose."""
-    if small_bound is not None and small_bound <= MAX_BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a side whose row count the calendar or the region list
+    bounds, whatever the data. Any other side is joined plainly: Spark then
+    chooses by measured bytes and may change its mind at run time."""
+    return big.join(F.broadcast(small), on, how)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.operators.joins import join_bounded
+from tillroll.operators.joins import join_small
 
 
 def daily_metrics(
@@ -40,8 +40,7 @@ def daily_metrics(
     )
     # dim_region has at most one row per region (three by construction).
     joined = per_key.join(dim_date.select("date_key", "full_date"), "date_key")
-    joined = join_bounded(joined, dim_region.select("region_key", "region_name"), "region_key",
-                          small_bound=len(C.REGIONS))
+    joined = join_small(joined, dim_region.select("region_key", "region_name"), "region_key")
     return joined.select(
         F.col("full_date").alias("metric_date"),
         "region_key",

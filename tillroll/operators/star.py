@@ -11,6 +11,7 @@ from tillroll.functions import columns as C
 
 STAR_TABLES = ("fact_sales", "dim_product", "dim_customer", "dim_date", "dim_region")
 
+# The fact table's columns, in the table's order.
 FACT_COLUMNS = [
     "transaction_id", "invoice_no", "product_key", "customer_key", "date_key", "region_key",
     "quantity", "unit_price", "currency_code", "gross_sales", "return_amount", "net_sales",
@@ -107,7 +108,7 @@ def fact_sales(cleaned: DataFrame) -> DataFrame:
 def build_star_schema(cleaned: DataFrame, check_empty: bool = True) -> dict[str, DataFrame]:
     """M9. ``check_empty`` runs V6 (one small job): an empty batch is an error."""
     if check_empty and cleaned.isEmpty():
-        raise ValueError("No valid transactions remain after cleaning")
+        raise ValueError("the batch is empty: cleaning kept no row")
     return {
         "dim_product": dim_product(cleaned),
         "dim_customer": dim_customer(cleaned),

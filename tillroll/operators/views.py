@@ -13,11 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
-from tillroll.operators.joins import join_bounded
-
-
-# One row per calendar day of years 1-9999: the most a day dimension can hold.
-CALENDAR_DAYS = 3_652_059
+from tillroll.operators.joins import join_small
 
 
 def _units() -> F.Column:
@@ -30,48 +26,44 @@ def kpi_summary(
     dim_date: DataFrame,
     dim_customer: DataFrame,
     anomaly_flags: DataFrame,
-    customer_bound: int | None = None,
 ) -> DataFrame:
-    """One row of headline numbers.
-
-    * J1 and J3 as semi-joins first: only fact rows whose day and customer
-      exist in the dimensions count, as with the inner joins. The day keys
-      are bounded by the calendar, so they are broadcast; the customer keys
-      are broadcast when ``customer_bound`` proves them small, else the
-      semi-join shuffles and AQE splits the hot UNKNOWN key.
-    * full_date and customer_id then come from distinct keys only: the fact's
-      day keys and customer keys are reduced first (partial aggregation
-      absorbs hot keys), then joined to the dimensions.
+    """One row of headline numbers, from one pass over the fact.
+
+    * J1 and J3 as semi-joins: only fact rows whose day and customer exist in
+      the dimensions count, as with the inner joins. The day dimension is
+      bounded by the calendar and broadcast; of the customers, keys alone
+      take part and Spark chooses by measured bytes.
+    * Day keys are in date order, so the first and last day are looked up for
+      two keys. A customer key stands for one customer id, so distinct keys
+      other than the sentinel's are the distinct customers.
     * J5, the left join to anomaly_flags on its primary key, adds no rows and
       no columns (Q19), so it is left out.
     * J8 is a scalar subquery.
     """
-    fact = join_bounded(fact, dim_date.select("date_key"), "date_key", "left_semi", small_bound=CALENDAR_DAYS)
-    fact = join_bounded(fact, dim_customer.select("customer_key"), "customer_key", "left_semi",
-                        small_bound=customer_bound)
+    fact = join_small(fact, dim_date.select("date_key"), "date_key", "left_semi")
+    fact = fact.join(dim_customer.select("customer_key"), "customer_key", "left_semi")
+    unknown = C.stable_key(C.CUSTOMER_PREFIX, F.lit(C.UNKNOWN_CUSTOMER))
     totals = fact.agg(
+        F.max("date_key").alias("_last"),
+        F.min("date_key").alias("_first"),
         F.count_distinct("invoice_no").alias("order_count"),
+        F.count_distinct(F.when(F.col("customer_key") != unknown, F.col("customer_key"))).alias("customer_count"),
         F.count_distinct("product_key").alias("product_count"),
         _units().alias("units_sold"),
         F.round(F.sum("net_sales"), 2).alias("total_revenue"),
         F.round(F.sum("return_amount"), 2).alias("total_returns"),
         F.count_if(F.col("is_return")).alias("return_line_count"),
     )
-    days = fact.select("date_key").distinct().join(dim_date.select("date_key", "full_date"), "date_key")
-    customers = fact.select("customer_key").distinct().join(
-        dim_customer.select("customer_key", "customer_id"), "customer_key"
-    )
-    latest = days.select(F.max("full_date")).scalar()
-    earliest = days.select(F.min("full_date")).scalar()
-    customer_count = customers.select(
-        F.count_distinct(F.nullif(F.col("customer_id"), F.lit(C.UNKNOWN_CUSTOMER)))
-    ).scalar()
+    days = dim_date.select("date_key", "full_date")
+    last = days.toDF("_last", "latest_sales_date")
+    first = days.toDF("_first", "earliest_sales_date")
+    totals = totals.join(last, "_last", "left").join(first, "_first", "left")
     anomaly_count = anomaly_flags.where(F.col("is_anomaly")).select(F.count(F.lit(1))).scalar()
     return totals.select(
-        latest.alias("latest_sales_date"),
-        earliest.alias("earliest_sales_date"),
+        "latest_sales_date",
+        "earliest_sales_date",
         "order_count",
-        customer_count.alias("customer_count"),
+        "customer_count",
         "product_count",
         "units_sold",
         "total_revenue",
@@ -92,8 +84,7 @@ def sales_trend(fact: DataFrame, dim_date: DataFrame, dim_region: DataFrame) ->
         C.half_up_ratio(F.sum("net_sales"), F.count("net_sales")).alias("average_line_revenue"),
     )
     named = per_key.join(dim_date.select("date_key", "full_date"), "date_key")
-    named = join_bounded(named, dim_region.select("region_key", "region_name"), "region_key",
-                         small_bound=len(C.REGIONS))
+    named = join_small(named, dim_region.select("region_key", "region_name"), "region_key")
     return named.select(
         F.col("full_date").alias("sales_date"),
         "region_name",
@@ -114,30 +105,23 @@ def region_category_breakdown(
     fact: DataFrame,
     dim_region: DataFrame,
     dim_product: DataFrame,
-    product_bound: int | None = None,
 ) -> DataFrame:
     """Per region and product category.
 
-    Each fact line meets its product's category (J4): a broadcast join when
-    ``product_bound`` proves the dimension small, else a shuffled join in
-    which AQE splits a hot product. The aggregate then runs on (region_key,
+    Each fact line meets its product's category (J4): Spark broadcasts the
+    dimension if its measured bytes allow, else AQE splits a hot product. The aggregate then runs on (region_key,
     category), six categories per region, with map-side partial aggregation;
     the region names join that small result.
     """
-    with_cat = join_bounded(
-        fact.select("region_key", "product_key", "invoice_no", "quantity", "net_sales", "return_amount"),
-        categorized_products(dim_product),
-        "product_key",
-        small_bound=product_bound,
-    )
+    lines = fact.select("region_key", "product_key", "invoice_no", "quantity", "net_sales", "return_amount")
+    with_cat = lines.join(categorized_products(dim_product), "product_key")
     per_key = with_cat.groupBy("region_key", "category").agg(
         F.count_distinct("invoice_no").alias("order_count"),
         _units().alias("units_sold"),
         F.round(F.sum("net_sales"), 2).alias("revenue"),
         F.round(F.sum("return_amount"), 2).alias("returns"),
     )
-    named = join_bounded(per_key, dim_region.select("region_key", "region_name"), "region_key",
-                         small_bound=len(C.REGIONS))
+    named = join_small(per_key, dim_region.select("region_key", "region_name"), "region_key")
     return named.select("region_name", "category", "order_count", "units_sold", "revenue", "returns")
 
 

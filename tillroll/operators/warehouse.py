@@ -21,12 +21,11 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillroll import schemas
-from tillroll.operators.joins import anti_join_keys
 from tillroll.operators.star import FACT_COLUMNS
-from tillroll.session import cut_lineage, run_concurrently
+from tillroll.session import run_concurrently, staged
 
 DIMENSION_KEYS = {
     "dim_product": "product_key",
@@ -36,6 +35,7 @@ DIMENSION_KEYS = {
 }
 ANOMALY_KEY = ["metric_date", "region_key"]
 ANOMALY_PARTITION = "metric_year"
+SALE_KEY = ["transaction_id", "date_key"]
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
 
 
@@ -65,63 +65,69 @@ def insert_if_absent(existing: DataFrame | None, batch: DataFrame, key: str) ->
 
 
 def dedup_batch_facts(batch: DataFrame) -> DataFrame:
-    """One row per transaction_id inside a batch.
+    """One row per transaction_id and day inside a batch.
+
+    The id is a hash of 64 bits, so two different sales may share one; equal
+    transaction text implies an equal day, so the day is part of the match.
 
     Kept row: the smallest by the other fact columns in table order, so the
     choice is deterministic under any partitioning. It is an aggregate with
     a map-side partial ``min``, not a window, so one transaction repeated a
     third of the batch is reduced before the shuffle.
     """
-    rest = [c for c in FACT_COLUMNS if c != "transaction_id"]
+    keys = [*SALE_KEY, "ingestion_date"]
+    rest = [c for c in FACT_COLUMNS if c not in keys]
     return (
-        batch.groupBy("transaction_id")
+        batch.groupBy(*keys)
         .agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
-        .select("transaction_id", *[F.col(f"_row.{c}").alias(c) for c in rest])
+        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in FACT_COLUMNS])
     )
 
 
 def fact_partition_rows(
     other_dates: DataFrame | None,
     batch: DataFrame,
-    batch_key_bound: int | None = None,
+    days: tuple[int, int] | None = None,
 ) -> DataFrame:
     """The rows a load writes into its own ``ingestion_date`` partition.
 
     ``other_dates`` is the fact table without the batch's date (its own old
-    partition is deleted first). ``batch_key_bound``, when the caller knows
-    it, is an upper bound of the batch's row count; it allows the batch keys
-    to be broadcast instead of shuffling every stored transaction id.
+    partition is deleted first). A sale is told by its id and day, so only
+    stored rows of the batch's ``days`` (smallest and largest ``date_key``)
+    can collide: given, the range is pushed into the stored scan, whose files
+    are sorted by day.
     """
     deduped = dedup_batch_facts(batch)
     if other_dates is None:
         return deduped
-    return anti_join_keys(deduped, other_dates.select("transaction_id"), "transaction_id", batch_key_bound)
+    stored = other_dates.select(*SALE_KEY)
+    if days is not None:
+        stored = stored.where(F.col("date_key").between(*days))
+    return deduped.join(stored, SALE_KEY, "left_anti")
 
 
-def load_fact(
-    existing: DataFrame | None,
-    batch: DataFrame,
-    ingestion_date,
-    batch_key_bound: int | None = None,
-) -> DataFrame:
+def load_fact(existing: DataFrame | None, batch: DataFrame, ingestion_date) -> DataFrame:
     """W2 as a table state: other dates unchanged, own date replaced."""
     d = _date(ingestion_date)
     batch = batch.where(F.col("ingestion_date") == F.lit(d))
     if existing is None:
         return fact_partition_rows(None, batch)
     others = existing.where(F.col("ingestion_date") != F.lit(d))
-    new_rows = fact_partition_rows(others, batch, batch_key_bound)
+    new_rows = fact_partition_rows(others, batch)
     return others.unionByName(new_rows)
 
 
-def replace_anomaly_range(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+def replace_anomaly_range(existing: DataFrame | None, new: DataFrame, bounds: tuple | None = None) -> DataFrame:
     """Drop stored rows with metric_date inside the batch's [min, max],
     then upsert the batch on (metric_date, region_key). An empty batch is a
-    no-op (the range is null, so nothing is dropped)."""
+    no-op (the range is null, so nothing is dropped). ``bounds`` is that
+    range where the caller knows it."""
     if existing is None:
         return new
-    lo = new.select(F.min("metric_date")).scalar()
-    hi = new.select(F.max("metric_date")).scalar()
+    if bounds is None:
+        lo, hi = new.select(F.min("metric_date")).scalar(), new.select(F.max("metric_date")).scalar()
+    else:
+        lo, hi = (F.lit(b) for b in bounds)
     # Rows of the batch all fall inside [lo, hi], so after this delete the
     # upsert on (metric_date, region_key) has nothing left to update.
     kept = existing.where(~F.coalesce(F.col("metric_date").between(lo, hi), F.lit(False)))
@@ -130,7 +136,11 @@ def replace_anomaly_range(existing: DataFrame | None, new: DataFrame) -> DataFra
 
 def replace_forecast_run(existing: DataFrame | None, new: DataFrame, run_date) -> DataFrame:
     """Drop stored rows of ``run_date``, then upsert the batch on the
-    four-column key (Q18: batch rows may carry other run dates)."""
+    four-column key (Q18: batch rows may carry other run dates). Rows of the
+    batch that share the key are one row (a horizon given twice)."""
+    rest = [c for c in new.columns if c not in FORECAST_KEY]
+    new = new.groupBy(*FORECAST_KEY).agg(F.max(F.struct(*rest)).alias("_row")).select(
+        *[F.col(c) if c in FORECAST_KEY else F.col(f"_row.{c}").alias(c) for c in new.columns])
     if existing is None:
         return new
     run = run_date if isinstance(run_date, Column) else F.lit(_date(run_date))
@@ -145,12 +155,16 @@ def replace_forecast_run(existing: DataFrame | None, new: DataFrame, run_date) -
 # File layer
 # ---------------------------------------------------------------------------
 
-def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet folder, or None when it does not exist (or holds no files)."""
+def read_parquet_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """A Parquet folder, or None when it does not exist. Any other failure is
+    raised: a table that cannot be read is not an absent one."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def empty_partition(spark: SparkSession, table: str, partition_column: str, path: str) -> None:
@@ -178,7 +192,10 @@ class Warehouse:
         """The table in its warehouse types, or None before its first write;
         partition folders (and helper partition columns such as
         ``metric_year``) are resolved here."""
-        df = read_parquet_or_none(self.spark, self.path(table))
+        schema = schemas.TABLES[table]
+        if table == "anomaly_flags":
+            schema = StructType([*schema.fields, StructField(ANOMALY_PARTITION, IntegerType())])
+        df = read_parquet_or_none(self.spark, self.path(table), schema)
         return None if df is None else schemas.conform(df, table)
 
     def read_or_empty(self, table: str) -> DataFrame:
@@ -186,7 +203,7 @@ class Warehouse:
         return df if df is not None else self.spark.createDataFrame([], schemas.TABLES[table])
 
     # -- W1 + W2 ---------------------------------------------------------
-    def load_star(self, star: dict[str, DataFrame], ingestion_date, batch_rows: int | None = None) -> None:
+    def load_star(self, star: dict[str, DataFrame], ingestion_date) -> None:
         """Dimensions first, then the fact partition, so a failure in
         between leaves no fact key without its dimension row. Rerunning the
         same load gives the same tables."""
@@ -196,29 +213,24 @@ class Warehouse:
             added = dimension_rows_to_add(self.read(table), batch, key)
             jobs.append(lambda added=added, table=table: added.write.mode("append").parquet(self.path(table)))
         run_concurrently(jobs)  # the four dimensions are independent of each other
-        self.replace_fact_partition(star["fact_sales"], ingestion_date, batch_rows)
+        self.replace_fact_partition(star["fact_sales"], ingestion_date)
 
-    def replace_fact_partition(self, batch: DataFrame, ingestion_date, batch_rows: int | None = None) -> None:
+    def replace_fact_partition(self, batch: DataFrame, ingestion_date) -> None:
+        """The load reads other dates only and writes its own folder, so it
+        needs no copy in between; an empty batch leaves a schema-only file."""
         d = _date(ingestion_date)
         batch = schemas.conform(batch, "fact_sales").where(F.col("ingestion_date") == F.lit(d))
         existing = self.read("fact_sales")
         others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
-        rows = cut_lineage(fact_partition_rows(others, batch, batch_rows))
-        if rows.isEmpty():
-            empty_partition(self.spark, "fact_sales", "ingestion_date",
-                            f"{self.path('fact_sales')}/ingestion_date={d.isoformat()}")
+        days = batch.agg(F.min("date_key"), F.max("date_key")).first()
+        folder = f"{self.path('fact_sales')}/ingestion_date={d.isoformat()}"
+        if days[0] is None:
+            empty_partition(self.spark, "fact_sales", "ingestion_date", folder)
             return
-        # Every row carries the same ingestion_date, so each task writes its
-        # own files into that one folder (no repartition: that would funnel
-        # the whole day through a single task). Sorting inside each task
-        # keeps date_key ranges tight in the row-group statistics.
-        (
-            rows.sortWithinPartitions("date_key", "region_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingestion_date")
-            .parquet(self.path("fact_sales"))
-        )
+        # Sorting inside each task keeps date_key ranges tight in the
+        # row-group statistics.
+        rows = fact_partition_rows(others, batch, (days[0], days[1])).drop("ingestion_date")
+        rows.sortWithinPartitions("date_key", "region_key").write.mode("overwrite").parquet(folder)
 
     # -- W3 ----------------------------------------------------------------
     def persist_anomalies(self, flags: DataFrame, detected_at=None) -> None:
@@ -228,29 +240,33 @@ class Warehouse:
         never leaves the table without its history and a rerun repairs it.
         Years, not days or months: the table holds a few rows per day, and
         each run replaces the whole history it recomputed."""
-        if flags.isEmpty():
-            return
         stamp = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")
-        new = schemas.conform(flags.withColumn("detected_at", stamp), "anomaly_flags")
-        lo, hi = new.agg(F.min("metric_date"), F.max("metric_date")).first()
         year = F.year("metric_date")
-        existing = self.read("anomaly_flags")
-        if existing is not None:
-            existing = existing.where(year.between(lo.year, hi.year))
-        merged = cut_lineage(replace_anomaly_range(existing, new).withColumn(ANOMALY_PARTITION, year))
-        written = {r[0] for r in merged.select(ANOMALY_PARTITION).distinct().collect()}  # calendar-bounded
-        if existing is not None:
-            stale = {r[0] for r in existing.select(year).distinct().collect()} - written
-            for y in stale:  # years left with no rows would keep their old folder
-                empty_partition(self.spark, "anomaly_flags", ANOMALY_PARTITION,
-                                f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={y}")
-        (
-            merged.repartition(ANOMALY_PARTITION)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(ANOMALY_PARTITION)
-            .parquet(self.path("anomaly_flags"))
-        )
+        # One row per day and region: worked out once, read several times.
+        new = schemas.conform(flags.withColumn("detected_at", stamp), "anomaly_flags").persist()
+        try:
+            lo, hi = new.agg(F.min("metric_date"), F.max("metric_date")).first()
+            if lo is None:
+                return
+            existing = self.read("anomaly_flags")
+            if existing is not None:
+                existing = existing.where(year.between(lo.year, hi.year))
+            with staged(replace_anomaly_range(existing, new, (lo, hi)).withColumn(ANOMALY_PARTITION, year)) as merged:
+                written = {r[0] for r in merged.select(ANOMALY_PARTITION).distinct().collect()}  # calendar-bounded
+                if existing is not None:
+                    stale = {r[0] for r in existing.select(year).distinct().collect()} - written
+                    for y in stale:  # years left with no rows would keep their old folder
+                        empty_partition(self.spark, "anomaly_flags", ANOMALY_PARTITION,
+                                        f"{self.path('anomaly_flags')}/{ANOMALY_PARTITION}={y}")
+                (
+                    merged.repartition(ANOMALY_PARTITION)
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(ANOMALY_PARTITION)
+                    .parquet(self.path("anomaly_flags"))
+                )
+        finally:
+            new.unpersist()
 
     # -- W4 ----------------------------------------------------------------
     def persist_forecasts(self, forecasts: DataFrame, run_date, created_at=None) -> None:
@@ -265,15 +281,14 @@ class Warehouse:
                 self.spark.createDataFrame([(d,)], "forecast_run_date date")
             ).distinct()
             existing = existing.join(touched, "forecast_run_date", "left_semi")
-        merged = replace_forecast_run(existing, new, d)
-        merged = cut_lineage(merged)
-        if existing is not None and merged.where(F.col("forecast_run_date") == F.lit(d)).isEmpty():
-            empty_partition(self.spark, "revenue_forecasts", "forecast_run_date",
-                            f"{self.path('revenue_forecasts')}/forecast_run_date={d.isoformat()}")
-        (
-            merged.repartition("forecast_run_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("forecast_run_date")
-            .parquet(self.path("revenue_forecasts"))
-        )
+        with staged(replace_forecast_run(existing, new, d)) as merged:
+            if existing is not None and merged.where(F.col("forecast_run_date") == F.lit(d)).isEmpty():
+                empty_partition(self.spark, "revenue_forecasts", "forecast_run_date",
+                                f"{self.path('revenue_forecasts')}/forecast_run_date={d.isoformat()}")
+            (
+                merged.repartition("forecast_run_date")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("forecast_run_date")
+                .parquet(self.path("revenue_forecasts"))
+            )

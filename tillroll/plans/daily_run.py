@@ -22,6 +22,7 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators import anomaly, clean, forecast, metrics, star, validate
 from tillroll.operators.warehouse import Warehouse
@@ -36,20 +37,38 @@ def _date(value) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
-def read_source(spark: SparkSession, source: str, multiline: bool = False) -> DataFrame:
+def has_quoted_breaks(spark: SparkSession, source: str) -> bool:
+    """Whether a record of the CSV runs over a line end: some line then has
+    an odd number of quotes."""
+    lines = spark.read.text(source)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.where(quotes % 2 == 1).isEmpty()
+
+
+def read_source(spark: SparkSession, source: str, multiline: bool | None = None) -> DataFrame:
     """A headed CSV (suffix ``.csv`` or none), every column as text.
 
-    Without ``multiline`` large files split across tasks; turn it on only for
-    files with line breaks inside quoted fields (each file is then one task).
+    Nothing is inferred and nothing dropped: a record with fewer or more
+    fields than the header keeps its text in ``_corrupt_record`` and becomes
+    a rejected row. Records that run over line ends need ``multiline``, which
+    makes each file one task; left open, one pass over the lines decides, so
+    large files without such records still split.
     """
     suffix = os.path.splitext(source.rstrip("/"))[1].lower()
     if suffix not in ("", ".csv"):
-        raise ValueError(f"Unsupported source format '{suffix}'. Use CSV.")
+        raise ValueError(f"'{suffix}' files are not read; give a CSV")
+    if multiline is None:
+        multiline = has_quoted_breaks(spark, source)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    header = reader.option("inferSchema", False).csv(source).columns
+    validate.require_columns(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in header)),
+                             validate.SOURCE_COLUMNS)
+    schema = StructType([StructField(c, StringType()) for c in [*header, validate.MALFORMED]])
     return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .option("escape", '"')
+        reader.schema(schema)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", validate.MALFORMED)
         .csv(source)
     )
 
@@ -58,7 +77,7 @@ def _partition(root: str, area: str, part: str, d: dt.date) -> str:
     return f"{root.rstrip('/')}/{area}/{part}/ingestion_date={d.isoformat()}"
 
 
-def ingest(spark: SparkSession, source: str, root: str, ingestion_date=None, multiline: bool = False) -> dict:
+def ingest(spark: SparkSession, source: str, root: str, ingestion_date=None, multiline: bool | None = None) -> dict:
     """M2: read, validate, land four outputs; returns the validation report.
 
     The source is parsed once into the raw landing copy (K1); the labelled
@@ -68,7 +87,6 @@ def ingest(spark: SparkSession, source: str, root: str, ingestion_date=None, mul
     configure(spark)
     d = _date(ingestion_date)
     source_rows = read_source(spark, source, multiline)
-    validate.require_columns(source_rows, validate.SOURCE_COLUMNS)
     paths = {part: _partition(root, "landing", part, d) for part in LANDING_PARTS}
     # K1 first: the CSV is parsed once, validation reads the columnar copy.
     source_rows.select("*", F.col("_metadata.file_path").alias("source_file")).write.mode("overwrite").parquet(
@@ -156,9 +174,8 @@ def load(spark: SparkSession, root: str, ingestion_date) -> int:
     """M10 from the curated tables; returns the batch's fact row count."""
     d = _date(ingestion_date)
     curated = read_curated(spark, root, d)
-    batch_rows = curated["fact_sales"].count()  # Parquet footers: cheap
-    Warehouse(spark, f"{root.rstrip('/')}/warehouse").load_star(curated, d, batch_rows)
-    return batch_rows
+    Warehouse(spark, f"{root.rstrip('/')}/warehouse").load_star(curated, d)
+    return curated["fact_sales"].count()  # Parquet footers: cheap
 
 
 def transform_and_load(spark: SparkSession, root: str, ingestion_date, validated: DataFrame | None = None) -> int:
@@ -175,34 +192,46 @@ def warehouse_daily_metrics(spark: SparkSession, root: str, run_date=None) -> Da
     )
 
 
-def run_anomaly_detection(spark: SparkSession, root: str, run_date=None, **params) -> DataFrame:
-    """The whole history is recomputed and its range replaced."""
+def run_anomaly_detection(spark: SparkSession, root: str, run_date=None, daily: DataFrame | None = None,
+                          **params) -> DataFrame:
+    """The whole history is recomputed and its range replaced.
+    ``daily`` are the metrics of ``run_date`` where the caller has them."""
     configure(spark)
     wh = Warehouse(spark, f"{root.rstrip('/')}/warehouse")
-    flags = anomaly.detect_anomalies(warehouse_daily_metrics(spark, root, run_date), **params)
+    daily = warehouse_daily_metrics(spark, root, run_date) if daily is None else daily
+    flags = anomaly.detect_anomalies(daily, **params)
     wh.persist_anomalies(flags)
     return wh.read_or_empty("anomaly_flags")
 
 
-def run_forecast(spark: SparkSession, root: str, run_date=None, horizons=(7, 30)) -> DataFrame:
+def run_forecast(spark: SparkSession, root: str, run_date=None, horizons=(7, 30),
+                 daily: DataFrame | None = None) -> DataFrame:
     """Forecast, then replace the run (W4). Without ``run_date`` the
     run date is the last metric date of all regions (Q18)."""
     configure(spark)
     wh = Warehouse(spark, f"{root.rstrip('/')}/warehouse")
-    daily = warehouse_daily_metrics(spark, root, run_date)
-    forecasts = forecast.forecast_revenue(daily, horizons=horizons, run_date=run_date)
-    effective = _date(run_date) if run_date is not None else daily.agg(F.max("metric_date")).first()[0]
-    if effective is not None:
-        wh.persist_forecasts(forecasts, effective)
+    # One row per day and region; the run date and the forecasts read it.
+    daily = (warehouse_daily_metrics(spark, root, run_date) if daily is None else daily).persist()
+    try:
+        forecasts = forecast.forecast_revenue(daily, horizons=horizons, run_date=run_date)
+        effective = _date(run_date) if run_date is not None else daily.agg(F.max("metric_date")).first()[0]
+        if effective is not None:
+            wh.persist_forecasts(forecasts, effective)
+    finally:
+        daily.unpersist()
     return wh.read_or_empty("revenue_forecasts")
 
 
-def run_daily(spark: SparkSession, source: str, root: str, ingestion_date=None) -> dict:
+def run_daily(spark: SparkSession, source: str, root: str, ingestion_date=None,
+              multiline: bool | None = None) -> dict:
     """Ingest -> transform -> load -> anomalies -> forecasts for one day,
-    in the order the reference schedules them."""
+    in the order the reference schedules them. The fact table is read once
+    for both models: its daily metrics, a row per day and region, are kept."""
     d = _date(ingestion_date)
-    report = ingest(spark, source, root, d)
+    report = ingest(spark, source, root, d, multiline)
     loaded = transform_and_load(spark, root, d)
-    run_anomaly_detection(spark, root, run_date=d)
-    run_forecast(spark, root, run_date=d)
+    daily = warehouse_daily_metrics(spark, root, d).persist()
+    run_anomaly_detection(spark, root, run_date=d, daily=daily)
+    run_forecast(spark, root, run_date=d, daily=daily)
+    daily.unpersist()
     return {"validation": report, "batch_fact_rows": loaded}

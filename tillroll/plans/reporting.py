@@ -10,20 +10,14 @@ from tillroll.operators.warehouse import Warehouse
 TABLES = ("fact_sales", "dim_product", "dim_customer", "dim_date", "dim_region", "anomaly_flags", "revenue_forecasts")
 
 
-def warehouse_views(spark: SparkSession, warehouse_root: str, product_bound: int | None = None) -> dict[str, DataFrame]:
+def warehouse_views(spark: SparkSession, warehouse_root: str) -> dict[str, DataFrame]:
     wh = Warehouse(spark, warehouse_root)
     t = {name: wh.read_or_empty(name) for name in TABLES}
-    if product_bound is None and wh.exists("dim_product"):
-        product_bound = t["dim_product"].count()  # Parquet footers: cheap, proves the broadcast bound
-    customer_bound = t["dim_customer"].count() if wh.exists("dim_customer") else None
     return {
-        "vw_kpi_summary": views.kpi_summary(
-            t["fact_sales"], t["dim_date"], t["dim_customer"], t["anomaly_flags"], customer_bound
-        ),
+        "vw_kpi_summary": views.kpi_summary(t["fact_sales"], t["dim_date"], t["dim_customer"], t["anomaly_flags"]),
         "vw_sales_trend": views.sales_trend(t["fact_sales"], t["dim_date"], t["dim_region"]),
         "vw_region_category_breakdown": views.region_category_breakdown(
-            t["fact_sales"], t["dim_region"], t["dim_product"], product_bound
-        ),
+            t["fact_sales"], t["dim_region"], t["dim_product"]),
         "vw_anomalies": views.anomalies(t["anomaly_flags"]),
         "vw_revenue_forecast": views.revenue_forecast(t["revenue_forecasts"]),
     }

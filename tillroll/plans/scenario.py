@@ -142,7 +142,7 @@ class Scenario:
         own date. The batch reuses that one persisted frame.
         """
         k = invoice_digits()
-        part = (k % 3).isin(list(remainders))
+        part = (F.coalesce(k, F.lit(0)) % 3).isin(list(remainders))
         date_col = F.lit(date)
         return Batch(
             self.labelled.where(part).withColumn("ingestion_date", date_col),
