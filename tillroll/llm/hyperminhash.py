@@ -13,11 +13,12 @@ Method
    chosen so that a pair at the threshold is missed with a probability of at
    most ``MISS``.
 4. A bucket is not expanded into all pairs. First, every member is compared
-   with the bucket's smallest member. Links found make components; inside a
-   bucket only the members outside its largest component have to be compared
-   with those of other components. They are, all of them, in rounds that take
-   more of them at a time. So each pair of a bucket is compared or known to
-   be connected, and a group of any size costs its length.
+   with the bucket's smallest member. Links found make components. Buckets
+   whose members are of several components then join into families. In a
+   family, the documents outside its largest component are compared with all
+   others, in blocks of at most about ``BLOCK`` documents a side: each other
+   pair of the family is known to be connected. Blocks emit links that join
+   components, never pairs.
 5. A candidate pair's Jaccard coefficient is estimated from the registers,
    corrected for chance collisions of compressed values. Pairs below the
    threshold by more than five standard errors end there; all others are
@@ -46,8 +47,10 @@ from tillroll.llm.common import id_and_text, slices, stored, text_bytes
 REGISTERS = 256
 MANTISSA = 10
 EMPTY = 0xFFFF
+# Fixed value: the limit of HyperMinHash's expected collisions per register.
+COLLISIONS = 0.16991948715973909 / 2 ** MANTISSA
 MISS = 1e-5
-AT_ONCE = 64  # members of a bucket compared with all others in one round, then eight times as many
+BLOCK = 1000  # documents of a block of a family
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _WHITE = np.zeros(256, bool)
@@ -126,8 +129,8 @@ def sets_of(texts: list[bytes], k: int) -> list[np.ndarray]:
     return [shingle_set(words[a:b], k) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-_PROBES = np.stack([mix(np.arange(REGISTERS, dtype=np.uint64) * np.uint64(64 + 2 * t + 1) + np.uint64(t) * _GOLD)
-                    % np.uint64(REGISTERS) for t in range(1, 400)]).astype(np.int64)
+_PROBES = (mix(np.arange(400 * REGISTERS, dtype=np.uint64) * _GOLD) % np.uint64(REGISTERS)).astype(
+    np.int64).reshape(400, REGISTERS)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -183,8 +186,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, i
         return 0.0, 0
     equal = int(((a == b) & used).sum())
     ratio = max(n_a, n_b) / max(1, min(n_a, n_b))
-    # Fixed value: the limit of HyperMinHash's expected collisions per register.
-    chance = 0.16991948715973909 * filled / 2 ** MANTISSA * 4 * ratio / (1 + ratio) ** 2
+    chance = COLLISIONS * filled * 4 * ratio / (1 + ratio) ** 2
     return max(0.0, (equal - chance) / filled), filled
 
 
@@ -210,6 +212,11 @@ def _sketch_batches(k: int, rows: int):
     return run
 
 
+def least_estimate(threshold: float, filled):
+    """Estimates below this rule the threshold out, by five standard errors."""
+    return threshold - 5 * (threshold * (1 - threshold) / np.maximum(1, filled)) ** 0.5
+
+
 def _likely(threshold: float):
     """Pairs whose estimate does not rule the threshold out."""
 
@@ -223,7 +230,7 @@ def _likely(threshold: float):
                     continue
                 found, filled = estimate(np.frombuffer(left[i], np.uint16), np.frombuffer(right[i], np.uint16),
                                          n_a[i], n_b[i])
-                if found >= threshold - 5 * (threshold * (1 - threshold) / max(1, filled)) ** 0.5:
+                if found >= least_estimate(threshold, filled):
                     keep.append(i)
             chosen = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], ["a", "b"])
@@ -231,6 +238,60 @@ def _likely(threshold: float):
     return run
 
 
+def _family_links(k: int, percent: int):
+    """Links of a block of a family that join components: its documents
+    with ``outside`` against its others. Exact sizes of intersections come
+    from an index of the others' shingles."""
+
+    def run(table: pa.Table) -> pa.Table:
+        threshold = percent / 100
+        ids = table.column("node").to_pylist()
+        components = table.column("component").to_pylist()
+        outside = table.column("outside").to_pylist()
+        sets: list[np.ndarray] = []
+        for batch in table.select(["text"]).to_batches():
+            for part in slices(batch):
+                sets += sets_of(text_bytes(part), k)
+        inner = [i for i, o in enumerate(outside) if not o]
+        sizes = np.array([len(sets[i]) for i in inner], np.int64)
+        registers = np.stack([sketch(sets[i]) for i in inner]) if inner else np.empty((0, REGISTERS), np.uint16)
+        owner = np.repeat(np.arange(len(inner)), sizes)
+        shingles = np.concatenate([sets[i] for i in inner]) if inner else np.empty(0, np.uint64)
+        order = np.argsort(shingles, kind="stable")
+        owner, shingles = owner[order], shingles[order]
+        group = {c: c for c in components}
+
+        def root(c):
+            while group[c] != c:
+                group[c] = group[group[c]]
+                c = group[c]
+            return c
+
+        links = []
+        for i in (i for i, o in enumerate(outside) if o):
+            own = sketch(sets[i])
+            filled = ((registers != EMPTY) | (own != EMPTY)).sum(1)
+            equal = ((registers == own) & (own != EMPTY)).sum(1)
+            ratio = np.maximum(sizes, len(sets[i])) / np.maximum(1, np.minimum(sizes, len(sets[i])))
+            chance = COLLISIONS * filled * 4 * ratio / (1 + ratio) ** 2
+            likely = (equal - chance) / np.maximum(1, filled) >= least_estimate(threshold, filled)
+            if not likely.any():
+                continue
+            begin, end = np.searchsorted(shingles, sets[i], "left"), np.searchsorted(shingles, sets[i], "right")
+            spans = end - begin
+            at = np.repeat(begin - (np.cumsum(spans) - spans), spans) + np.arange(int(spans.sum()))
+            common = np.bincount(owner[at], minlength=len(inner))
+            linked = likely & (100 * common >= percent * (sizes + len(sets[i]) - common))
+            for j in np.flatnonzero(linked).tolist():
+                x, y = root(components[i]), root(components[inner[j]])
+                if x != y:
+                    group[x] = y
+                    links.append((ids[i], ids[inner[j]]))
+        return pa.table([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], ["a", "b"])
+
+    return run
+
+
 def _confirm(k: int, percent: int):
     """Pairs whose full sets reach the threshold."""
 
@@ -275,6 +336,43 @@ def components(links: DataFrame) -> DataFrame:
         roots.select("node", F.col("node").alias("component")))
 
 
+def _within_families(buckets: DataFrame, found: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components that share a bucket, beyond those with the
+    buckets' smallest members."""
+    labelled = buckets.join(found, "node", "left").select(
+        "key", "node", "center", F.coalesce("component", "node").alias("component"))
+    open_keys = labelled.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter(
+        "x != y and n > 2").select("key")  # of two members, both are compared already
+    members = stored(labelled.join(open_keys, "key").select("node", "center", "component").distinct(), "open")
+    families = components(members.filter("node != center").select(F.col("node").alias("a"), F.col("center").alias("b")))
+    rows = members.select("node", "component").distinct().join(families.toDF("node", "family"), "node")
+    parts = rows.groupBy("family", "component").agg(F.count("*").alias("n"))
+    shape = parts.groupBy("family").agg(
+        F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"),
+        F.max("n").alias("most")).filter("all > most").select(
+        "family", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("inner_blocks"),
+        F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("outer_blocks"))
+    rows = rows.join(shape, "family")
+
+    def block(count: str, salt: int):
+        return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    inner = rows.select("family", block("inner_blocks", 1).alias("i"), every("outer_blocks").alias("o"), "node",
+                        "component", F.lit(False).alias("outside"))
+    outer = rows.filter("component != largest").select(
+        "family", every("inner_blocks").alias("i"), block("outer_blocks", 2).alias("o"), "node", "component",
+        F.lit(True).alias("outside"))
+    placed = inner.unionByName(outer)
+    wanted = rows.select("node").distinct()
+    own = texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").toDF("node", "text")
+    filled = placed.join(own, "node")
+    return stored(filled.groupBy("family", "i", "o").applyInArrow(_family_links(k, percent), "a long, b long"), "links")
+
+
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by a Jaccard coefficient of ``percent`` or
     more of their ``k``-word shingle sets. Runs at once."""
@@ -286,7 +384,7 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         .agg(F.min("doc_id").alias("node")), "nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node")
     shared = members.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("far")).filter("center != far")
-    active = stored(members.join(shared.select("key", "center"), "key"), "buckets")
+    buckets = stored(members.join(shared.select("key", "center"), "key"), "buckets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The links among pairs ``a < b``."""
@@ -299,38 +397,12 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         full = likely.join(own.toDF("a", "left"), "a").join(own.toDF("b", "right"), "b")
         return full.select("a", "b", "left", "right").mapInArrow(_confirm(k, percent), "a long, b long").distinct()
 
-    def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    pairs = ordered(active.filter("node != center").select(F.col("node").alias("a"), F.col("center").alias("b")))
+    pairs = buckets.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(confirmed(pairs), "links")
-    seen, active, at_once = pairs, active.filter("node != center").select("key", "node"), AT_ONCE
     found = components(links)
-    while True:
-        labelled = active.join(found, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component"))
-        sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                           F.sum("n").alias("all"), F.max("n").alias("most"))
-        open_buckets = largest.filter("all > most").select("key", "largest", (F.col("all") - F.col("most")).alias("rest"))
-        left = stored(labelled.join(open_buckets, "key"), "open")
-        if left.isEmpty():
-            break
-        rest = left.filter("component != largest")
-        some = rest.filter(F.col("rest") <= at_once).select("key", "node", "component")
-        many = rest.filter(F.col("rest") > at_once).groupBy(
-            "key", F.pmod(F.xxhash64("node", F.lit(at_once)), F.lit(at_once)).alias("share")).agg(
-            F.min_by(F.struct("node", "component"), "node").alias("c")).select("key", "c.node", "c.component")
-        centers = stored(some.unionByName(many), "centers")
-        new = left.join(centers.toDF("key", "center", "other"), "key").filter("component != other")
-        new = ordered(new.select(F.col("node").alias("a"), F.col("center").alias("b"))).join(seen, ["a", "b"], "left_anti")
-        new = stored(new, "pairs")
-        more = stored(confirmed(new), "links")
-        links = links.unionByName(more)
-        seen = seen.unionByName(new)
-        active = left.join(centers.select("key", "node"), ["key", "node"], "left_anti").select("key", "node")
-        found = components(links)
-        at_once *= 8
+    more = _within_families(buckets, found, texts, k, percent)
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     labelled = nodes.join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
     out = sketched.select("doc_id", "n_shingles", "digest").join(
