@@ -100,6 +100,8 @@ def rules() -> list[dict]:
     found = [{"label": label, "priority": 5 if label == "unknown" else 1, "keyword": keyword, "pattern": pattern}
              for label, keyword, pattern in TEXTS]
     for label, name in NAMES:
+        if "licen" in name:
+            found.append({"label": label, "priority": 4, "keyword": _keyword(name), "pattern": name})
         short = name.removesuffix(" license").removesuffix(" licence")
         for priority, form in FORMS:
             words = short if form.startswith("{}") else name

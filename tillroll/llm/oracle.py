@@ -15,6 +15,7 @@ FROM (
 
 
 NEAR_GROUPS = """
+SELECT * FROM (
 WITH RECURSIVE
 words AS (
     SELECT doc_id, [x FOR x IN regexp_split_to_array(
@@ -45,6 +46,7 @@ reach AS (
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, r.component_id, w.doc_id = r.component_id AS kept
 FROM words w LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
+) found
 """
 
 

@@ -42,6 +42,7 @@ SIGN = "▁"
 RUN = 2048
 AT_ONCE = 2_500_000  # characters of the runs worked on together
 TEMPERATURE = 1.0
+DRAW_BITS = 40
 SEED = 20240607
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -150,7 +151,7 @@ class Sampler:
         source = begin + run_of[begin]  # a state per character and one more per run
         target = source + length
         place = target - first[run_of[begin]]
-        order = np.argsort((place << 44) + (target << 12) + length)
+        order = np.argsort((place << 44) + (target << 13) + (length << 1) + (piece < 0))  # no two are alike
         source, target, weight, piece, place = (x[order] for x in (source, target, weight, piece, place))
         sums = np.zeros(int(first[-1] + sizes[-1] + 1))
         cuts = np.searchsorted(place, np.arange(1, int(sizes.max()) + 2))
@@ -160,12 +161,18 @@ class Sampler:
         share = np.exp(sums[source] + weight - sums[target])
         order = np.argsort(target, kind="stable")
         source, target, share, piece = (x[order] for x in (source, target, share, piece))
-        total = np.cumsum(share)
+        # Cumulated within each state alone, so a run's draws do not depend on
+        # what else is in the slice.
         heads = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
-        before = np.repeat(total[heads] - share[heads], np.diff(np.append(heads, len(target))))
+        widths = np.diff(np.append(heads, len(target)))
+        for rank in range(1, int(widths.max())):
+            at = heads[widths > rank] + rank
+            share[at] += share[at - 1]
+        part = np.minimum(share * 2.0 ** DRAW_BITS, 2.0 ** DRAW_BITS - 2).astype(np.int64)
+        part[heads + widths - 1] = (1 << DRAW_BITS) - 1
         return {"first": first, "last": first + sizes, "source": source, "piece": piece, "spelled": spelled,
                 "bytes": np.frombuffer(true.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8),
-                "key": target + np.minimum(total - before, 1 - 1e-12)}
+                "key": (target << DRAW_BITS) + part}
 
     def draw(self, lattice: dict[str, np.ndarray], run: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a segmentation of each run asked for, in text order, and
@@ -174,9 +181,8 @@ class Sampler:
         who, taken, steps = np.arange(len(run)), [], 0
         counts = np.zeros(len(run), np.int64)
         while len(who):
-            draws = _mix(key[who] + _STEPS[steps]) >> np.uint64(11)
-            edge = np.searchsorted(lattice["key"], state + draws * 2.0 ** -53)
-            edge = np.minimum(edge, len(lattice["key"]) - 1)
+            draws = (_mix(key[who] + _STEPS[steps]) >> np.uint64(64 - DRAW_BITS)).astype(np.int64) & ~1
+            edge = np.searchsorted(lattice["key"], (state << DRAW_BITS) + draws, "right")
             taken.append((who, edge))
             counts[who] += 1
             state = lattice["source"][edge]
