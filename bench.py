@@ -4,7 +4,9 @@ Each query runs to completion through Spark's ``noop`` sink (every row is
 produced, nothing is collected to the driver). ``daily_run`` times the whole
 file-based daily run (ingest -> landing -> clean -> curated star -> load ->
 anomalies -> forecasts) over the adapter's rows written once, untimed, as a
-CSV source into a fresh temporary folder. Prints one JSON line.
+CSV source into a fresh temporary folder. Prints one JSON line: ``queries``
+are times with one scenario shared by the session, in order, as in earlier
+rounds; ``cold`` are times of each query alone, nothing cached.
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_QUERIES (optional comma-separated subset).
 """
@@ -22,6 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillroll.plans import daily_run  # noqa: E402
 from tillroll.plans.queries import registered  # noqa: E402
+from tillroll.plans.scenario import reset  # noqa: E402
 from tillroll.sources.retail_adapter import raw_transactions  # noqa: E402
 from tillroll.session import build_session  # noqa: E402
 
@@ -69,7 +72,17 @@ def main() -> None:
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir):
         qs["vw_sales_trend"](spark, warm_dir).write.format("noop").mode("overwrite").save()
-    timings = {}
+    timings, cold = {}, {}
+    for name in names:
+        reset(spark)
+        t0 = time.perf_counter()
+        try:
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            cold[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:
+            print(f"{name} failed: {exc}", file=sys.stderr)
+            cold[name] = None
+    reset(spark)
     for name in names:
         t0 = time.perf_counter()
         try:
@@ -89,6 +102,7 @@ def main() -> None:
         "value": round(sum(v for v in timings.values() if v is not None), 3),
         "unit": "sec",
         "queries": timings,
+        "cold": cold,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
     }))

@@ -25,3 +25,12 @@ def test_every_query_has_a_sql_twin():
     assert set(QUERIES) <= set(qs) and set(QUERIES) <= set(sql) and set(sql) <= set(qs)
     assert len(QUERIES) == 32
     assert all(s.lstrip().upper().startswith("SELECT") for s in sql.values())
+
+
+def test_scenarios_can_be_dropped(spark):
+    from tillroll.plans import scenario
+
+    first = scenario.scenario(spark, entry_module.SMOKE_DIR)
+    assert scenario.scenario(spark, entry_module.SMOKE_DIR) is first
+    scenario.reset(spark)
+    assert scenario.scenario(spark, entry_module.SMOKE_DIR) is not first

@@ -89,6 +89,12 @@ def scenario(spark: SparkSession, sf_dir: str) -> "Scenario":
     return _SCENARIOS[key]
 
 
+def reset(spark: SparkSession) -> None:
+    """Drops every scenario and unpersists its frames."""
+    spark.catalog.clearCache()
+    _SCENARIOS.clear()
+
+
 class Scenario:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
