@@ -76,6 +76,12 @@ def validate_totals(spark, sf):
     )
 
 
+def validate_reason_map(spark, sf):
+    """The report's map, entry by entry."""
+    report = validate.validation_report(scenario(spark, sf).batch.labelled)
+    return report.select(F.explode("rejection_reasons").alias("rejection_reason", "row_count"))
+
+
 # -- cleaning -------------------------------------------------------------------
 
 def clean_transactions(spark, sf):
@@ -198,6 +204,12 @@ def forecast_rows(spark, sf):
     return scenario(spark, sf).forecasts
 
 
+def forecast_repeated_horizon(spark, sf):
+    """A horizon given twice is stored once."""
+    rows = forecast.forecast_revenue(scenario(spark, sf).daily(), horizons=(7, 7), run_date=BATCH_DATE)
+    return warehouse.replace_forecast_run(None, rows, BATCH_DATE)
+
+
 # -- views ------------------------------------------------------------------------
 
 def vw_kpi_summary(spark, sf):
@@ -246,6 +258,14 @@ def check_foreign_keys(spark, sf):
     return checks.foreign_key_report(_loaded_tables(scenario(spark, sf)))
 
 
+def check_foreign_keys_first_dims(spark, sf):
+    """The facts of both batches against the dimensions of the first one:
+    references are absent here, so the check must say so."""
+    s = scenario(spark, sf)
+    tables = {t: schemas.conform(s.batch_a.star[t], t) for t in warehouse.DIMENSION_KEYS}
+    return checks.foreign_key_report({**tables, "fact_sales": schemas.conform(s.fact_ab, "fact_sales")})
+
+
 def check_not_null(spark, sf):
     tables = _loaded_tables(scenario(spark, sf))
     tables["anomaly_flags"] = tables["anomaly_flags"].withColumn("detected_at", F.lit(BATCH_DATE).cast("timestamp"))
@@ -257,16 +277,16 @@ def check_not_null(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
-        validate_reason_counts, validate_accepted, validate_rejected, validate_totals,
+        validate_reason_counts, validate_accepted, validate_rejected, validate_totals, validate_reason_map,
         clean_transactions, clean_drop_counts, country_region,
         dim_product, dim_customer, dim_region, dim_date, fact_sales,
         load_dim_insert_if_absent, load_fact_first_write_wins, load_fact_rerun,
         anomaly_range_replace, forecast_run_replace,
         daily_metrics, daily_metrics_bounded,
         anomaly_baselines, anomaly_flags, anomaly_by_severity,
-        forecast_levels, forecast_rows,
+        forecast_levels, forecast_rows, forecast_repeated_horizon,
         vw_kpi_summary, vw_sales_trend, vw_region_category_breakdown, vw_anomalies, vw_revenue_forecast,
-        check_unique, check_foreign_keys, check_not_null,
+        check_unique, check_foreign_keys, check_foreign_keys_first_dims, check_not_null,
     ]
 }
 
