@@ -33,7 +33,7 @@ SPLITS = {
 # Latin-1 character, else the next character from 256 on.
 _HIDDEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
 BYTE_SIGNS = {b: chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)}
-HELD = 600_000  # words, and as many runs between spaces, that a worker remembers
+HELD = 400_000  # words, and as many runs between spaces, that a worker remembers
 
 
 class _Held(dict):
