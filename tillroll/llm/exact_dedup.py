@@ -261,7 +261,8 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, buckets: int |
     groups = reduce(DataFrame.unionByName, solved).select(
         F.explode("runs").alias("run_id"), "best_run", "keep_id", "keep_at", "group_size")
     rows = runs.select("run_id", "digest", F.posexplode("members").alias("at", "doc_id"))
-    return rows.join(groups, "run_id").select(
+    # Both sides grow with the corpus: never a broadcast.
+    return rows.join(groups.hint("merge"), "run_id").select(
         "doc_id", "keep_id", "group_size",
         ((F.col("run_id") == F.col("best_run")) & (F.col("at") == F.col("keep_at"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
@@ -275,4 +276,4 @@ def drop_copies(docs: DataFrame, **options) -> DataFrame:
     kept = exact_groups(docs, **options).filter("kept")
     sha = F.sha2(fold_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
     same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (sha == kept["text_sha256"])
-    return docs.join(kept, same, "left_semi")
+    return docs.join(kept.hint("merge"), same, "left_semi")
