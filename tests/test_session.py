@@ -45,3 +45,12 @@ def test_configured_folder_is_used():
 def test_local_session_gets_a_private_folder():
     s = _Session("local[2]")
     assert checkpoint_dir(s).startswith("/") and s.sparkContext.getCheckpointDir()
+
+
+def test_submitted_settings_are_kept(monkeypatch):
+    from tillroll import session
+
+    monkeypatch.delenv("PYSPARK_GATEWAY_PORT", raising=False)
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--driver-memory 4g --conf spark.sql.adaptive.enabled=false pyspark-shell")
+    assert session.submitted("spark.driver.memory") and session.submitted("spark.sql.adaptive.enabled")
+    assert not session.submitted("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -39,12 +39,16 @@ LOCAL_CONF = {
 
 
 def submitted(key: str) -> bool:
-    """Whether the deployment set ``key`` for this application already: on
-    the command line of spark-submit or in the driver's own configuration."""
-    from pyspark import SparkConf
-
-    return SparkConf().contains(key) or f"--conf {key}=" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or (
-        key == "spark.driver.memory" and "--driver-memory" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""))
+    """Whether the deployment set ``key`` for this application already:
+    spark-submit has started the JVM with it, or the submit arguments of a
+    plain Python driver name it."""
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        from pyspark import SparkConf, SparkContext
+
+        SparkContext._ensure_initialized()
+        return SparkConf().contains(key)
+    given = os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    return f"{key}=" in given or (key == "spark.driver.memory" and "--driver-memory" in given)
 
 
 def build_session(
