@@ -66,6 +66,32 @@ def test_hundreds_of_rules_with_keywords():
         assert r["keyword"] in re.findall(r"[a-z0-9]+", r["pattern"])
 
 
+def own_words(pattern):
+    """A text of a rule's own words: optional parts left out, first choices taken."""
+    text = pattern.replace("(?:\\S+ ){1,12}", "some ").replace("(?:\\S+ ){0,20}", "").replace("licen[sc]e", "license")
+    while re.search(r"\(\?:[^()]*\)\?", text):
+        text = re.sub(r"\(\?:[^()]*\)\?", "", text)
+    return re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", text)
+
+
+def test_every_rule_finds_its_own_words(docs):
+    made = license_scan.rules()
+    texts = [own_words(r["pattern"]) for r in made]
+    for rule, text in zip(made, texts):
+        assert re.fullmatch(rule["pattern"], text)
+    got = {r.doc_id: r for r in license_scan.scan(docs(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].labels and got[i].score > 0, text
+        assert any(d.start == 0 and d.end == len(text.split()) for d in got[i].detections), text
+
+
+def test_forms_without_license_language(docs):
+    rows = ["This package is released under the Apache-2.0.", "available under the MIT.", "under the terms of the MPL 2.0",
+            "Unauthorized copying of this file", "The origin of this software must not be misrepresented"]
+    got = {r.doc_id: r.labels for r in license_scan.scan(docs(list(enumerate(rows)))).collect()}
+    assert [got[i] for i in range(5)] == ["apache-2.0", "mit", "mpl-2.0", "proprietary", "zlib"]
+
+
 def test_native_and_empty(docs):
     df = license_scan.scan(docs([]))
     assert df.count() == 0

@@ -3,9 +3,8 @@
 A text is lower-cased (A-Z) and reduced to its words with one space before
 each and one behind the last. Hundreds of rules - written by hand, or made
 from a hand-written list of license names and phrases that introduce them -
-are gated twice: a text without any stem of license language is done, and a
-rule is tried only if its keyword is among the text's words. Each rule has a
-priority. A detection whose words lie inside those of another one of a
+are gated by keywords: a rule is tried only if its keyword, a word of every
+text it matches, is among the text's words. Each rule has a priority. A detection whose words lie inside those of another one of a
 better priority (or the same and more words, or the same words and an
 earlier rule) is suppressed.
 
@@ -155,7 +154,6 @@ def scan(docs: DataFrame) -> DataFrame:
     made = rules()
     table = F.array(*[F.struct(*[F.lit(r[k]).alias(k) for k in ("label", "priority", "keyword", "pattern", "rule")])
                       for r in made])
-    stems = r"licen[sc]e| copyright | permission | redistribut| spdx | domain | rights | confidential | gpl|creative commons"
     keywords = sorted({r["keyword"] for r in made})
     gate = " (" + "|".join(keywords) + ")(?= )"
     base = "(?:" + "|".join(p for p, _ in BASE) + ")"
@@ -163,8 +161,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     df = id_and_text(docs).select("doc_id", words_of(F.col("text")).alias("words"))
     words = F.col("words")
-    gated = words.rlike(stems)
-    present = F.when(gated, F.array_distinct(F.regexp_extract_all(words, F.lit(gate), F.lit(1))))
+    present = F.array_distinct(F.regexp_extract_all(words, F.lit(gate), F.lit(1)))
     df = df.select("doc_id", "words", present.alias("present"))
     active = F.filter(table, lambda r: F.array_contains(F.col("present"), r["keyword"]))
     found = F.when(F.size("present") > 0, F.flatten(F.transform(active, lambda r: _detections(words, r))))
