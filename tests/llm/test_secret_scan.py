@@ -58,6 +58,25 @@ def test_random_runs_are_found_and_words_are_not():
     assert found >= 55 and false == 0
 
 
+def test_tokens_inside_longer_runs_are_found():
+    r = random.Random(5)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    found = dict.fromkeys(("path", "prefix", "dashed", "behind"), 0)
+    for _ in range(40):
+        draw = lambda signs, k: "".join(r.choices(signs, k=k))
+        hexes = "-".join(draw("0123456789ABCDEF", 8) for _ in range(6))
+        for name, before, key in (("path", "/user-files/", draw(upper + lower + digits, 40)),
+                                  ("prefix", "key_", draw(lower + digits, 64)), ("dashed", "", hexes),
+                                  ("behind", "AKIA" + draw(upper + digits, 16) + "/", draw(upper + lower + digits, 40))):
+            text = f"{words(r, 150)} {before}{key} {words(r, 40)}"
+            at = text.index(before + key) + len(before)
+            spans = [(a, b) for a, b, k, _ in s.scan(text) if k == 3]
+            found[name] += any(a <= at and at + len(key) <= b for a, b in spans)
+            assert all(at - len(before) <= a and b <= at + len(key) for a, b in spans)
+            assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+    assert min(found.values()) >= 36, found
+
+
 def test_structured_runs_fail_the_battery():
     assert min(s.battery([0, 1, 2, 3, 4, 5, 6, 7] * 5, 16)) < s.STRUCTURED
     assert min(s.battery([3] * 40, 16)) < s.STRUCTURED

@@ -1,8 +1,11 @@
 """Secret scan: known shapes, and a randomness test battery for the rest.
 
 Base shapes (assignments, access keys, hexadecimal runs) are patterns. The
-battery looks at every other run of 20 or more code characters, infers the
-encoding from the characters used, and asks whether the run could have been
+battery looks at the code characters around those, in runs of 20 or more. A
+run is read in every way its separators (``+/_-``) allow: each may part
+tokens, belong to the encoding, or only group its characters. Every part of
+20 or more characters is a candidate; the encoding is inferred from the
+characters used, and the question is whether the candidate could have been
 drawn at random from that alphabet:
 
 * chi-squared uniformity of the symbols, in bins of equal expected count
@@ -10,13 +13,15 @@ drawn at random from that alphabet:
 * Wald-Wolfowitz runs above and below the middle of the alphabet;
 * lag-1 serial correlation of the symbol values.
 
-A run that fails a test (Bonferroni over the three) is structured, not
+A candidate that fails a test (Bonferroni over the three) is structured, not
 random. For one that passes, the evidence against "this is text" is the
 likelihood of the run under the uniform alphabet against a first-order
 character model of the document's own text. Its reciprocal bounds the
 p-value of the text hypothesis (Markov's inequality) and falls with every
 character, so the control is length-aware by itself. Benjamini-Hochberg
-over a document's runs keeps the share of false discoveries below ``fdr``.
+over a document's candidates keeps the share of false discoveries below
+``fdr``. Of discoveries that overlap, the one with the most evidence stays;
+for this choice a separator counts against the candidate it is in.
 
 Positions are code points, ends exclusive. Null text counts as empty and has
 no spans. A null or repeated id, or a repeated row, is a row like any other.
@@ -29,6 +34,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +55,8 @@ HEX = re.compile(rb"[0-9a-f]+")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 CODE = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 RUN = re.compile(rb"x{%d,}" % SHORTEST)
+SEPARATORS = b"+/_-"
+SEPARATOR_PRICE = 3.0  # evidence in nats that a separator costs where candidates overlap
 
 
 def _mask(members: bytes) -> bytes:
@@ -156,45 +164,79 @@ class TextModel:
             self.single[b] = self.single.get(b, 0) + folded.count(bytes([b]))
         self.total = sum(self.single.values()) + 64
         self.folded = folded
+        self.pairs: dict[bytes, int] = {}
 
-    def log_likelihood(self, run: bytes) -> float:
-        run, log = run.lower(), 0.0
+    def _count(self, pair: bytes) -> int:
+        if pair not in self.pairs:
+            self.pairs[pair] = self.folded.count(pair)
+        return self.pairs[pair]
+
+    def log_likelihoods(self, run: bytes) -> list[float]:
+        """Of each character, behind the one before."""
+        run, logs = run.lower(), []
         for i, b in enumerate(run):
             share = (self.single.get(b, 0) + 1) / self.total
             if i:
                 before = self.single.get(run[i - 1], 0)
-                share = (self.folded.count(run[i - 1:i + 1]) + 16 * share) / (before + 16)
-            log += math.log(min(1.0, share))
-        return log
+                share = (self._count(run[i - 1:i + 1]) + 16 * share) / (before + 16)
+            logs.append(math.log(min(1.0, share)))
+        return logs
+
+
+def candidates(run: bytes) -> list[tuple[int, int, bytes]]:
+    """``(start, end, body)``: the parts of a run for every choice of the
+    separators that part it, as they are and without their separators."""
+    present = [bytes([c]) for c in SEPARATORS if c in run]
+    found = set()
+    for n in range(len(present) + 1):
+        for parting in combinations(present, n):
+            pattern = b"[^" + re.escape(b"".join(parting)) + b"]+" if parting else b"(?s:.+)"
+            for m in re.finditer(pattern, run):
+                for body in (m[0], m[0].translate(None, SEPARATORS)):
+                    if len(body) >= SHORTEST:
+                        found.add((*m.span(), body))
+    return sorted(found)
 
 
 def random_runs(text: bytes, taken: list[tuple[int, int]], fdr: float) -> list[tuple[int, int]]:
-    """Spans of runs that pass the battery and the document's control."""
-    found = [m.span() for m in RUN.finditer(text.translate(CODE_MASK))]
-    found = [(a, b) for a, b in found if not any(a < y and x < b for x, y in taken)]
+    """Spans that pass the battery and the document's control, none of which
+    overlaps another one or a span in ``taken``."""
+    mask = bytearray(text.translate(CODE_MASK))
+    for a, b in taken:
+        mask[a:b] = b" " * (b - a)
     tested = []
-    for a, b in found:
-        run = text[a:b]
-        signs = infer_alphabet(run)
-        if signs:
-            tested.append((a, b, run, signs))
+    for m in RUN.finditer(mask):
+        for a, b, body in candidates(text[m.start():m.end()]):
+            signs = infer_alphabet(body)
+            if signs:
+                tested.append((m.start() + a, m.start() + b, body, signs))
     if not tested:
         return []
-    model = TextModel(text, sorted([*taken, *((a, b) for a, b, _, _ in tested)]))
+    without: list[tuple[int, int]] = []
+    for a, b in sorted([*taken, *((a, b) for a, b, _, _ in tested)]):
+        if not without or b > without[-1][1]:
+            without.append((max(a, without[-1][1]) if without else a, b))
+    model = TextModel(text, without)
     judged = []
-    for a, b, run, signs in tested:
+    for a, b, body, signs in tested:
         place = {c: i for i, c in enumerate(signs)}
-        if min(1.0, 3 * min(battery([place[c] for c in run], len(signs)))) < STRUCTURED:
+        if min(1.0, 3 * min(battery([place[c] for c in body], len(signs)))) < STRUCTURED:
             continue
-        folded = len(set(signs.lower()))
-        log_p = model.log_likelihood(run) + len(run) * math.log(folded)
-        judged.append((min(0.0, log_p), a, b))
+        folded = math.log(len(set(signs.lower())))
+        evidence = [x + folded for x in model.log_likelihoods(body)]
+        own = sum(x for x, c in zip(evidence, body) if c not in SEPARATORS)
+        own += SEPARATOR_PRICE * sum(c in SEPARATORS for c in text[a:b])
+        judged.append((min(0.0, sum(evidence)), own, a, b))
     judged.sort()
     last = 0
-    for rank, (log_p, _, _) in enumerate(judged, 1):
+    for rank, (log_p, *_) in enumerate(judged, 1):
         if log_p <= math.log(fdr * rank / len(tested)):
             last = rank
-    return [(a, b) for _, a, b in judged[:last]]
+    kept: list[tuple[int, int]] = []
+    for _, a, b in sorted((own, a, b) for _, own, a, b in judged[:last]):
+        if not any(a < y and x < b for x, y in kept):
+            kept.append((a, b))
+    return kept
 
 
 def scan(text: str, fdr: float = FALSE_DISCOVERIES) -> list[tuple[int, int, int, int]]:
