@@ -41,3 +41,21 @@ def test_stages_take_odd_rows(spark):
             out = stage(spark, docs, SF)
             assert out.count() >= 0
         assert mil_quality.keep_quality(docs, 1.0).count() == len(table)
+
+
+def test_copy_stages_leave_one_row(spark):
+    schema = read_table(spark, SF, "documents").schema
+    long = "one two three four five six seven"
+    rows = [(3, "same words in this text", "en", "s", 5), (3, "same words in this text", "en", "s", 5),
+            (3, "Same Words in this text", "de", "t", 5), (None, "no id here", "en", "s", 1),
+            (None, "no id here", "en", "s", 1), (None, "another without id", "en", "s", 1),
+            (1, long, "en", "s", 1), (2, long, "en", "s", 1), (2, "a text of its own", "en", "s", 1),
+            (9, None, None, None, None), (9, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    left = {"exact": exact_dedup.drop_copies(docs), "near": hyperminhash.drop_near_copies(docs)}
+    found = {name: sorted(((r.doc_id, (r.text or "").lower()) for r in out.collect()), key=repr) for name, out in left.items()}
+    base = [(3, "same words in this text"), (None, "no id here"), (None, "another without id"), (2, "a text of its own"), (9, "")]
+    assert found == {"exact": sorted([*base, (2, long)], key=repr), "near": sorted([*base, (1, long)], key=repr)}
+    assert all(out.columns == docs.columns for out in left.values())
+    twice = hyperminhash.drop_near_copies(exact_dedup.drop_copies(docs))
+    assert twice.count() == 6

@@ -31,6 +31,31 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_row_per(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and the smallest ``_row`` for each of their combinations (any
+    one if a type in it has no order). Tasks fold repeats before the shuffle."""
+    kind = rows.schema["_row"].dataType.simpleString()
+    pick = F.first if "map<" in kind or "variant" in kind else F.min
+    return rows.groupBy(*keys).agg(pick("_row").alias("_row"))
+
+
+def told_by(column: str) -> list:
+    """A column that may be null as two keys that are not."""
+    return [F.coalesce(F.col(column).cast("long"), F.lit(0)).alias("_id"), F.col(column).isNull().alias("_no_id")]
+
+
+def rows_told_apart(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs``, all columns, for each ``doc_id, text_sha256`` (of
+    the text, A-Z lower-cased) in ``kept`` that it has."""
+    keys = ["_id", "_no_id", "_sha"]
+    sha = F.sha2(fold_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256)
+    rows = one_row_per(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                                   *told_by("doc_id"), sha.alias("_sha")), keys)
+    kept = kept.select(*told_by("doc_id"), F.col("text_sha256").alias("_sha"))
+    # The join's keys are those of the rows: they are not shuffled again, nor ever broadcast.
+    return rows.join(kept.hint("merge"), keys, "left_semi").select("_row.*")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

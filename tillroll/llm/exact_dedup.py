@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import fold_ascii, id_and_text, shuffle_partitions, slices, stored, text_bytes
+from tillroll.llm.common import id_and_text, rows_told_apart, shuffle_partitions, slices, stored, text_bytes
 
 TABLE_BYTES = 64 << 20  # contents a task's table holds before rows spill
 RUN_SCHEMA = ("run_id long, digest binary, content binary, best_id long, best_at int, "
@@ -269,11 +269,9 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, buckets: int |
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep, all columns.
+    """One row of ``docs`` for each group of ``exact_groups``, all columns.
 
-    A row is told by its id and text; rows that repeat both stand together.
+    A row is told by its id and text, A-Z lower-cased; of rows that repeat
+    both, the smallest stays.
     """
-    kept = exact_groups(docs, **options).filter("kept")
-    sha = F.sha2(fold_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (sha == kept["text_sha256"])
-    return docs.join(kept.hint("merge"), same, "left_semi")
+    return rows_told_apart(docs, exact_groups(docs, **options).filter("kept"))

@@ -35,6 +35,7 @@ are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import id_and_text, slices, stored, text_bytes
+from tillroll.llm.common import id_and_text, rows_told_apart, slices, stored, text_bytes
 
 REGISTERS = 256
 MANTISSA = 10
@@ -190,7 +191,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, i
     return max(0.0, (equal - chance) / filled), filled
 
 
-NODE = "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>"
+NODE = "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>, text_sha256 string"
 
 
 def _sketch_batches(k: int, rows: int):
@@ -199,7 +200,8 @@ def _sketch_batches(k: int, rows: int):
 
         for batch in batches:
             for part in slices(batch):
-                sets = sets_of(text_bytes(part), k)
+                texts = text_bytes(part)
+                sets = sets_of(texts, k)
                 sketches = [sketch(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
@@ -207,7 +209,8 @@ def _sketch_batches(k: int, rows: int):
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
                     pa.array([None if s is None else band_keys(s, rows) for s in sketches], pa.list_(pa.int64())),
-                ], ["doc_id", "n_shingles", "digest", "registers", "bands"])
+                    pa.array([hashlib.sha256(t.lower()).hexdigest() for t in texts], pa.string()),
+                ], ["doc_id", "n_shingles", "digest", "registers", "bands", "text_sha256"])
 
     return run
 
@@ -376,6 +379,11 @@ def _within_families(buckets: DataFrame, found: DataFrame, texts: DataFrame, k:
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by a Jaccard coefficient of ``percent`` or
     more of their ``k``-word shingle sets. Runs at once."""
+    return _grouped(docs, k, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``near_groups`` with the digests of each row's set and text."""
     threshold = percent / 100
     texts = id_and_text(docs)
     sketched = stored(texts.mapInArrow(_sketch_batches(k, band_rows(threshold)), NODE), "sketches")
@@ -405,14 +413,18 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         found = components(links.unionByName(more))
     labelled = nodes.join(found, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
-    out = sketched.select("doc_id", "n_shingles", "digest").join(
+    out = sketched.select("doc_id", "n_shingles", "digest", "text_sha256").join(
         labelled.select(F.col("digest").alias("of"), "component"), F.col("digest") == F.col("of"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return out.select("doc_id", "n_shingles", "digest", "text_sha256", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group, all columns."""
-    kept = near_groups(docs, **options).filter("kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """``docs`` with one document of each group, all columns. Of rows that
+    repeat an id (or have none) and have equal sets, one stays; without words
+    only equal texts are repeats."""
+    kept = _grouped(docs, **options).filter("kept")
+    one = kept.groupBy("doc_id", "digest", F.when(F.col("digest").isNull(), F.col("text_sha256"))).agg(
+        F.min("text_sha256").alias("text_sha256"))
+    return rows_told_apart(docs, one)
