@@ -25,6 +25,12 @@ def test_lossless_and_reproducible(docs, path, monkeypatch):
     assert p.sample_pieces(docs([]), path).count() == 0
 
 
+def test_noncharacters_come_back(docs, path):
+    rows = [(1, "a\ufdd0b \ufdd0"), (2, "\u2581\ufdd0 \u2581"), (3, "\uffff\U0010ffff x")]
+    out = p.decode_pieces(p.sample_pieces(docs(rows), path), path).collect()
+    assert sorted(r.text for r in out) == sorted(t for _, t in rows)
+
+
 def test_runs_in_parts_give_the_same(path, monkeypatch):
     v = p.Vocabulary(path)
     texts = ["some words of a text " * 9, "more\nlines here"]

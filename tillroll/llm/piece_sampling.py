@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from tillroll.llm.common import id_and_text, slices, text_bytes
 
 SIGN = "▁"
+OWN_SIGN = 0x110000  # beyond Unicode: a space sign of the text itself
 RUN = 2048
 AT_ONCE = 2_500_000  # characters of the runs worked on together
 TEMPERATURE = 1.0
@@ -132,10 +133,9 @@ class Sampler:
         states first..first+n."""
         v = self.v
         sizes = np.array([len(r) for r in runs])
-        # The text's own space signs become a point that no piece has.
-        whole = "".join(r[0] + r[1:].replace(SIGN, "﷐") if r[0] == " " else r.replace(SIGN, "﷐") for r in runs)
-        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        points = np.where(points == 32, ord(SIGN), points)
+        points = np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        # The text's own space signs become a point that no text or piece has.
+        points = np.where(points == ord(SIGN), OWN_SIGN, np.where(points == 32, ord(SIGN), points))
         first = np.cumsum(sizes + 1) - (sizes + 1)
         ends = np.cumsum(sizes)
         run_of = np.repeat(np.arange(len(runs)), sizes)
@@ -144,7 +144,7 @@ class Sampler:
         each = np.arange(len(points))
         begin = np.concatenate([begin, each])
         length = np.concatenate([length, np.ones(len(each), np.int64)])
-        true = np.where(points == 0xFDD0, ord(SIGN), np.where(points == ord(SIGN), 32, points))
+        true = np.where(points == OWN_SIGN, ord(SIGN), np.where(points == ord(SIGN), 32, points))
         spelled = 1 + (true > 0x7F) + (true > 0x7FF) + (true > 0xFFFF)
         weight = np.concatenate([v.weight[piece], v.byte_weight * spelled])
         piece = np.concatenate([piece, -1 - each])  # below zero: spelled in bytes
