@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_hyperminhash": ["doc_id", "n_shingles", "component_id", "kept"],
     "op9_piece_sampling": ["doc_id", "n_pieces", "ids_crc32", "lossless"],
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op12_relative_parse": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op13_phrases": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 
 
@@ -32,7 +35,11 @@ def test_runs_over_all_documents(spark, name):
     df = QUERIES[name](spark, SF)
     assert set(COLUMNS[name]) <= set(df.columns)
     rows = df.collect()
-    assert len({r.doc_id for r in rows}) == 200 and (name == "op4_packing" or len(rows) == 200)
+    if name == "op11_whitening":
+        assert len({r.vec_id for r in rows}) == 500 and len(rows) == 4000
+        assert rows[0].identity_error < 1e-9
+    elif name != "op13_phrases":
+        assert len({r.doc_id for r in rows}) == 200 and (name == "op4_packing" or len(rows) == 200)
     if name == "op9_piece_sampling":
         assert all(r.lossless for r in rows)
     if name in oracle_sql():

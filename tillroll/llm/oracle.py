@@ -89,6 +89,26 @@ FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
+REPEATS = """
+WITH words AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+    FROM documents
+),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20),
+windows AS (SELECT doc_id, s, sha256(array_to_string(w[s:s + 19], ' ')) AS h FROM starts),
+copies AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, s) > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS places
+         FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p FROM copies) covered GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+           CASE WHEN places IS NULL THEN w
+                ELSE list_where(w, [NOT list_contains(places, i) FOR i IN range(1, len(w) + 1)]) END AS k
+    FROM words LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op8_hyperminhash": NEAR_GROUPS, "op10_exact_dedup": EXACT_DEDUP,
-            "op13_phrases": PHRASES}
+            "op12_relative_parse": REPEATS, "op13_phrases": PHRASES}

@@ -1,4 +1,4 @@
-"""One registered query per operator: the operator over whole ``documents``,
+"""One registered query per operator: the operator over its whole table,
 reduced to the columns of its contract."""
 
 from __future__ import annotations
@@ -15,9 +15,12 @@ from tillroll.llm import (
     license_scan,
     mil_quality,
     packing,
+    phrases,
     piece_sampling,
+    relative_parse,
     secret_scan,
     token_store,
+    whitening,
     winnowing,
 )
 from tillroll.sources.tables import read_table
@@ -84,6 +87,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_relative_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_parse.removal_digest(documents(spark, sf_dir))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_context_mixing": op2_context_mixing,
@@ -95,4 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_piece_sampling": op9_piece_sampling,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_relative_parse": op12_relative_parse,
+    "op13_phrases": op13_phrases,
 }
