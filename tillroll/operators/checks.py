@@ -25,6 +25,8 @@ UNIQUE_KEYS = [
     ("anomaly_flags", ["metric_date", "region_key"]),
     ("revenue_forecasts", ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]),
 ]
+# After a load, sales are told by id and day (see ``warehouse.SALE_KEY``).
+LOADED_KEYS = [(t, ["transaction_id", "date_key"] if t == "fact_sales" else k) for t, k in UNIQUE_KEYS]
 # Foreign keys (C2): (table, column, referenced table, referenced column).
 FOREIGN_KEYS = [
     ("fact_sales", "product_key", "dim_product", "product_key"),
@@ -42,9 +44,9 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
 
 
-def unique_report(tables: dict[str, DataFrame]) -> DataFrame:
+def unique_report(tables: dict[str, DataFrame], keys: list | None = None) -> DataFrame:
     parts = []
-    for table, key in UNIQUE_KEYS:
+    for table, key in keys or UNIQUE_KEYS:
         if table not in tables:
             continue
         dups = duplicate_keys(tables[table], key)
@@ -112,3 +114,69 @@ def not_null_report(tables: dict[str, DataFrame]) -> DataFrame:
             F.lit(table).alias("table_name"), "r.column_name", "r.rule", "r.violations"
         ))
     return reduce(DataFrame.unionByName, parts)
+
+
+# -- constraints while loading ---------------------------------------------------
+
+VIOLATIONS = "_violations"
+
+
+def row_violations(table: str) -> F.Column:
+    """C3 for rows of any column types: every rule a row breaks, as
+    ``column:rule`` (``type`` if the value is none of the table's type)."""
+    limits = schemas.LENGTH_LIMITS.get(table, {})
+    rules = []
+    for field in schemas.TABLES[table].fields:
+        c = F.col(field.name)
+        if not field.nullable:
+            rules.append((f"{field.name}:not_null", c.isNull()))
+        if field.name in limits:
+            rules.append((f"{field.name}:max_length_{limits[field.name]}", F.length(c) > limits[field.name]))
+        rules.append((f"{field.name}:type", c.isNotNull() & c.try_cast(field.dataType).isNull()))
+    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
+
+
+def with_orphans(rows: DataFrame, table: str, parents: dict[str, DataFrame]) -> DataFrame:
+    """Adds ``column:no_parent`` to ``_violations`` of rows whose reference
+    is in none of ``parents``. Only distinct references meet the parents; the
+    rows meet the (normally empty) list of references without one."""
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child != table or parent not in parents:
+            continue
+        known = parents[parent].select(F.col(parent_column).alias(column))
+        orphans = rows.select(column).where(F.col(column).isNotNull()).distinct().join(known, column, "left_anti")
+        rows = rows.join(orphans.withColumn("_orphan", F.lit(f"{column}:no_parent")), column, "left")
+        rows = rows.withColumn(VIOLATIONS, F.when(F.col("_orphan").isNull(), F.col(VIOLATIONS)).otherwise(
+            F.array_append(VIOLATIONS, F.col("_orphan")))).drop("_orphan")
+    return rows
+
+
+def with_repeats(rows: DataFrame, table: str, stored: DataFrame | None, primary: str) -> DataFrame:
+    """C1 for a dimension batch without repeated rows: adds ``columns:unique``
+    to rows whose key another row has, or whose natural key the table holds under another primary key. (A primary key that the table
+    holds is no violation: such a row is not added.)"""
+    for name, key in UNIQUE_KEYS:
+        if name != table:
+            continue
+        label = F.lit(f"{','.join(key)}:unique")
+        taken = duplicate_keys(rows.where(F.col(key[0]).isNotNull()), key).select(*key)
+        if stored is not None and key != [primary]:
+            held = stored.select(*key, F.col(primary).alias("_held"))
+            taken = taken.union(rows.join(held, key).where(F.col(primary) != F.col("_held")).select(*key)).distinct()
+        rows = rows.join(taken.withColumn("_taken", label), key, "left")
+        rows = rows.withColumn(VIOLATIONS, F.when(F.col("_taken").isNull(), F.col(VIOLATIONS)).otherwise(
+            F.array_append(VIOLATIONS, F.col("_taken")))).drop("_taken")
+    return rows
+
+
+def quarantined(rows: DataFrame, table: str, ingestion_date) -> DataFrame:
+    """Rows with violations in the form of ``load_quarantine``."""
+    own = [c for c in rows.columns if c != VIOLATIONS]
+    return rows.where(F.size(VIOLATIONS) > 0).select(
+        F.lit(ingestion_date).cast("date").alias("ingestion_date"), F.lit(table).alias("table_name"),
+        F.col(VIOLATIONS).alias("violations"), F.to_json(F.struct(*own)).alias("record"))
+
+
+def admitted(rows: DataFrame, table: str) -> DataFrame:
+    """Rows without violations, in the table's types."""
+    return schemas.conform(rows.where(F.size(VIOLATIONS) == 0), table)

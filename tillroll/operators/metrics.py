@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import columns as C
 from tillroll.operators.joins import join_small
+from tillroll.operators.partials import merged_sums
 
 
 def daily_metrics(
@@ -28,16 +28,40 @@ def daily_metrics(
     The bound is applied to the fact's date_key too, so it prunes the scan
     (Parquet row-group statistics) instead of only the date dimension.
     """
-    if run_date is not None:
-        if isinstance(run_date, str):
-            run_date = dt.date.fromisoformat(run_date)
-        bound_key = run_date.year * 10000 + run_date.month * 100 + run_date.day
-        fact = fact.where(F.col("date_key") <= F.lit(bound_key))
-        dim_date = dim_date.where(F.col("full_date") <= F.lit(run_date))
+    fact, dim_date = bounded(fact, dim_date, run_date)
     per_key = fact.groupBy("date_key", "region_key").agg(
         F.sum("net_sales").alias("revenue"),
         F.sum("return_amount").alias("returns"),
     )
+    return named(per_key, dim_date, dim_region)
+
+
+def daily_metrics_merged(
+    fact_daily: DataFrame,
+    dim_date: DataFrame,
+    dim_region: DataFrame,
+    run_date=None,
+) -> DataFrame:
+    """The same metrics from the summaries that each load leaves
+    (``partials.daily_rows``): a row per ingestion date, day and region is
+    read instead of the fact history."""
+    fact_daily, dim_date = bounded(fact_daily, dim_date, run_date)
+    per_key = merged_sums(fact_daily.select("date_key", "region_key", "revenue", "returns"), "date_key", "region_key")
+    return named(per_key, dim_date, dim_region)
+
+
+def bounded(rows: DataFrame, dim_date: DataFrame, run_date) -> tuple[DataFrame, DataFrame]:
+    """V7 on the rows' day key and on the day dimension."""
+    if run_date is None:
+        return rows, dim_date
+    if isinstance(run_date, str):
+        run_date = dt.date.fromisoformat(run_date)
+    bound_key = run_date.year * 10000 + run_date.month * 100 + run_date.day
+    return rows.where(F.col("date_key") <= F.lit(bound_key)), dim_date.where(F.col("full_date") <= F.lit(run_date))
+
+
+def named(per_key: DataFrame, dim_date: DataFrame, dim_region: DataFrame) -> DataFrame:
+    """Sums per key with the day and the region's name."""
     # dim_region has at most one row per region (three by construction).
     joined = per_key.join(dim_date.select("date_key", "full_date"), "date_key")
     joined = join_small(joined, dim_region.select("region_key", "region_name"), "region_key")

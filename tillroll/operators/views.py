@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
+from tillroll.operators import partials
 from tillroll.operators.joins import join_small
 
 
@@ -96,11 +97,6 @@ def sales_trend(fact: DataFrame, dim_date: DataFrame, dim_region: DataFrame) ->
     )
 
 
-def categorized_products(dim_product: DataFrame) -> DataFrame:
-    """The view's CTE: product_key -> keyword category."""
-    return dim_product.select("product_key", C.product_category("description").alias("category"))
-
-
 def region_category_breakdown(
     fact: DataFrame,
     dim_region: DataFrame,
@@ -114,7 +110,7 @@ def region_category_breakdown(
     the region names join that small result.
     """
     lines = fact.select("region_key", "product_key", "invoice_no", "quantity", "net_sales", "return_amount")
-    with_cat = lines.join(categorized_products(dim_product), "product_key")
+    with_cat = lines.join(partials.categorized_products(dim_product), "product_key")
     per_key = with_cat.groupBy("region_key", "category").agg(
         F.count_distinct("invoice_no").alias("order_count"),
         _units().alias("units_sold"),
@@ -125,6 +121,72 @@ def region_category_breakdown(
     return named.select("region_name", "category", "order_count", "units_sold", "revenue", "returns")
 
 
+# The same three views from the summaries each load leaves (see ``partials``).
+# They rest on the load's checks: every stored fact row has its dimension rows.
+
+def kpi_summary_merged(
+    fact_daily: DataFrame,
+    fact_bitmaps: DataFrame,
+    dim_date: DataFrame,
+    anomaly_flags: DataFrame,
+) -> DataFrame:
+    """M17 from summary rows: distinct counts are bit counts of merged
+    bitmaps, everything else adds up."""
+    totals = fact_daily.agg(
+        F.max("date_key").alias("_last"), F.min("date_key").alias("_first"),
+        F.sum("units").alias("units_sold"),
+        F.round(F.sum("revenue"), 2).alias("total_revenue"), F.round(F.sum("returns"), 2).alias("total_returns"),
+        F.coalesce(F.sum("return_lines"), F.lit(0)).alias("return_line_count"))
+    days = dim_date.select("date_key", "full_date")
+    totals = totals.join(days.toDF("_last", "latest_sales_date"), "_last", "left")
+    totals = totals.join(days.toDF("_first", "earliest_sales_date"), "_first", "left")
+
+    def distinct(kind: str) -> F.Column:
+        return F.coalesce(partials.merged_distinct(fact_bitmaps, kind).select("distinct").scalar(), F.lit(0))
+
+    anomaly_count = anomaly_flags.where(F.col("is_anomaly")).select(F.count(F.lit(1))).scalar()
+    return totals.select(
+        "latest_sales_date", "earliest_sales_date",
+        distinct("invoice_day").alias("order_count"), distinct("customer").alias("customer_count"),
+        distinct("product").alias("product_count"),
+        "units_sold", "total_revenue", "total_returns", "return_line_count", anomaly_count.alias("anomaly_count"))
+
+
+def _with_orders(sums: DataFrame, bitmaps: DataFrame, kind: str, *keys: str) -> DataFrame:
+    """Merged sums and the distinct invoices of the same groups."""
+    orders = partials.merged_distinct(bitmaps, kind, *keys).withColumnRenamed("distinct", "order_count")
+    return partials.merged_sums(sums, *keys).join(orders, list(keys))
+
+
+def sales_trend_merged(
+    fact_daily: DataFrame,
+    fact_bitmaps: DataFrame,
+    dim_date: DataFrame,
+    dim_region: DataFrame,
+) -> DataFrame:
+    """M18 from summary rows."""
+    per_key = _with_orders(fact_daily, fact_bitmaps, "invoice_day", "date_key", "region_key")
+    joined = per_key.join(dim_date.select("date_key", "full_date"), "date_key")
+    joined = join_small(joined, dim_region.select("region_key", "region_name"), "region_key")
+    return joined.select(
+        F.col("full_date").alias("sales_date"), "region_name", "order_count", F.col("units").alias("units_sold"),
+        F.round("revenue", 2).alias("revenue"), F.round("returns", 2).alias("returns"),
+        C.half_up_ratio(F.col("revenue"), F.col("priced_lines")).alias("average_line_revenue"))
+
+
+def region_category_merged(
+    fact_category: DataFrame,
+    fact_bitmaps: DataFrame,
+    dim_region: DataFrame,
+) -> DataFrame:
+    """M19 from summary rows."""
+    per_key = _with_orders(fact_category, fact_bitmaps, "invoice_category", "region_key", "category")
+    joined = join_small(per_key, dim_region.select("region_key", "region_name"), "region_key")
+    return joined.select(
+        "region_name", "category", "order_count", F.col("units").alias("units_sold"),
+        F.round("revenue", 2).alias("revenue"), F.round("returns", 2).alias("returns"))
+
+
 def anomalies(anomaly_flags: DataFrame) -> DataFrame:
     """Flagged region-days (V8), rounded."""
     cols = [

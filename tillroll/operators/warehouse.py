@@ -6,8 +6,10 @@ that applies them:
 
 * dimensions: insert-if-absent (append the anti-joined rows);
 * fact_sales: partitioned by ``ingestion_date``; a load replaces its own
-  partition (dynamic partition overwrite) and never re-adds a transaction
-  that another date already holds (first write wins, Q12);
+  partition and never re-adds a transaction that another date already holds
+  (first write wins, Q12);
+* a load's dimensions, facts, summaries and refused rows are staged and then
+  published together;
 * anomaly_flags: range replace + upsert; the table is one row per region-day,
   bounded by the calendar, and is rewritten from a reliable checkpoint;
 * revenue_forecasts: partitioned by ``forecast_run_date``; only the run
@@ -17,13 +19,16 @@ that applies them:
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillroll import schemas
+from tillroll.operators import checks, partials
+from tillroll.operators.publish import Files, Load, publication, recover
 from tillroll.operators.star import FACT_COLUMNS
 from tillroll.session import run_concurrently, staged
 
@@ -33,6 +38,9 @@ DIMENSION_KEYS = {
     "dim_date": "date_key",
     "dim_region": "region_key",
 }
+# A load's tables in the order in which they become visible.
+PUBLISH_ORDER = [*DIMENSION_KEYS, "ids_invoice", "ids_customer", "ids_product", "fact_sales", "fact_daily",
+                 "fact_category", "fact_bitmaps", "load_quarantine"]
 ANOMALY_KEY = ["metric_date", "region_key"]
 ANOMALY_PARTITION = "metric_year"
 SALE_KEY = ["transaction_id", "date_key"]
@@ -203,34 +211,137 @@ class Warehouse:
         return df if df is not None else self.spark.createDataFrame([], schemas.TABLES[table])
 
     # -- W1 + W2 ---------------------------------------------------------
-    def load_star(self, star: dict[str, DataFrame], ingestion_date) -> None:
-        """Dimensions first, then the fact partition, so a failure in
-        between leaves no fact key without its dimension row. Rerunning the
-        same load gives the same tables."""
-        jobs = []
+    def load_star(self, star: dict[str, DataFrame], ingestion_date) -> dict[str, int]:
+        """New dimension rows, the date's fact partition and its
+        summaries, published together (see ``publish``); a load that stops
+        before that leaves every table as it was. Rows that break C1-C3 go to
+        ``load_quarantine``. Returns how many, per table. Rerunning the same
+        load gives the same tables."""
+        d = _date(ingestion_date)
+        with publication(self.spark, self.root, PUBLISH_ORDER) as load:
+            dims, refused = self._stage_dimensions(load, star, d)
+            fact, fact_refused = self._stage_fact(load, star["fact_sales"], dims, d)
+            refused.update(fact_refused)
+            self._stage_summaries(load, fact, dims["dim_product"], d)
+            for other in sorted(self.dates("fact_sales") - self.dates("fact_daily") - {d.isoformat()}):
+                self._stage_stored_summaries(load, other, dims["dim_product"])
+            self._stage_quarantine(load, [rows for rows, _ in refused.values()], d)
+        return {table: n for table, (_, n) in refused.items()}
+
+    def recover(self) -> int:
+        """Finish or drop what a stopped load left (done before every load)."""
+        return recover(Files(self.spark, self.root), PUBLISH_ORDER)
+
+    def dates(self, table: str) -> set[str]:
+        """Ingestion dates that have a partition."""
+        names = Files(self.spark, self.root).names(self.path(table))
+        return {n.split("=", 1)[1] for n in names if n.startswith("ingestion_date=")}
+
+    def summarised(self) -> bool:
+        """Whether every stored fact partition has its summaries (those
+        written before summaries existed get them at the next load)."""
+        return self.dates("fact_sales") <= self.dates("fact_daily")
+
+    def _admit(self, checked: DataFrame, table: str, write) -> int:
+        """Writes the rows without violations; the same pass counts the others."""
+        seen = Observation()
+        watched = checked.observe(seen, F.count_if(F.size(checks.VIOLATIONS) > 0).alias("refused"))
+        write(checks.admitted(watched, table))
+        return int(seen.get.get("refused") or 0)
+
+    def _stage_dimensions(self, load: Load, star: dict[str, DataFrame], d: dt.date):
+        """The dimensions as they will be, and what was refused."""
+        after, refused, jobs = {}, {}, []
+
+        def stage(table: str, key: str) -> None:
+            stored = self.read(table)
+            batch = star[table].select(*schemas.TABLES[table].names).distinct()
+            batch = batch.withColumn(checks.VIOLATIONS, checks.row_violations(table))
+            batch = checks.with_repeats(batch, table, stored, key)
+            n = self._admit(batch, table, lambda rows: dimension_rows_to_add(stored, rows, key).write.parquet(
+                load.path(table)))
+            added = self.spark.read.schema(schemas.TABLES[table]).parquet(load.path(table))
+            after[table] = added if stored is None else stored.unionByName(added)
+            if n:
+                refused[table] = (checks.quarantined(batch, table, d), n)
+
         for table, key in DIMENSION_KEYS.items():
-            batch = schemas.conform(star[table], table)
-            added = dimension_rows_to_add(self.read(table), batch, key)
-            jobs.append(lambda added=added, table=table: added.write.mode("append").parquet(self.path(table)))
+            jobs.append(lambda table=table, key=key: stage(table, key))
         run_concurrently(jobs)  # the four dimensions are independent of each other
-        self.replace_fact_partition(star["fact_sales"], ingestion_date)
-
-    def replace_fact_partition(self, batch: DataFrame, ingestion_date) -> None:
-        """The load reads other dates only and writes its own folder, so it
-        needs no copy in between; an empty batch leaves a schema-only file."""
-        d = _date(ingestion_date)
-        batch = schemas.conform(batch, "fact_sales").where(F.col("ingestion_date") == F.lit(d))
+        return after, refused
+
+    def _stage_fact(self, load: Load, batch: DataFrame, dims: dict[str, DataFrame], d: dt.date):
+        """The date's new partition (W2). The load reads other dates only;
+        an empty batch leaves an empty partition."""
+        names = schemas.TABLES["fact_sales"].names
+        batch = batch.select(*names).where(F.col("ingestion_date").try_cast("date") == F.lit(d))
+        checked = batch.withColumn(checks.VIOLATIONS, checks.row_violations("fact_sales"))
+        checked = checks.with_orphans(checked, "fact_sales", dims)
+        day = F.col("date_key").try_cast("int")
+        days = batch.agg(F.min(day), F.max(day)).first()
         existing = self.read("fact_sales")
         others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
-        days = batch.agg(F.min("date_key"), F.max("date_key")).first()
-        folder = f"{self.path('fact_sales')}/ingestion_date={d.isoformat()}"
+        path = load.path("fact_sales", f"ingestion_date={d.isoformat()}")
+
+        def write(rows: DataFrame) -> None:
+            # Sorting inside each task keeps date_key ranges tight in the
+            # row-group statistics.
+            rows = fact_partition_rows(others, rows, (days[0], days[1])).drop("ingestion_date")
+            rows.sortWithinPartitions("date_key", "region_key").write.parquet(path)
+
+        refused = {}
         if days[0] is None:
-            empty_partition(self.spark, "fact_sales", "ingestion_date", folder)
+            empty_partition(self.spark, "fact_sales", "ingestion_date", path)
+        n = self._admit(checked, "fact_sales", write) if days[0] is not None else checked.count()
+        if n:
+            refused["fact_sales"] = (checks.quarantined(checked, "fact_sales", d), n)
+        return self._partition("fact_sales", path, d), refused
+
+    def _partition(self, table: str, path: str, d) -> DataFrame:
+        """One partition's files as rows of the table."""
+        schema = StructType([f for f in schemas.TABLES[table].fields if f.name != "ingestion_date"])
+        rows = self.spark.read.schema(schema).parquet(path).withColumn("ingestion_date", F.lit(d).cast("date"))
+        return rows.select(*schemas.TABLES[table].names)
+
+    def _stage_summaries(self, load: Load, fact: DataFrame, dim_product: DataFrame, d) -> None:
+        """The summaries of one date's fact rows, and ids for its new keys."""
+        ids = {}
+
+        def number(kind: str) -> None:
+            table = f"ids_{kind}"
+            stored, staged_before = self.read(table), load.files.exists(load.path(table))
+            if staged_before:  # another date of this load has numbered keys
+                before = self.spark.read.schema(schemas.KEY_IDS).parquet(load.path(table))
+                stored = before if stored is None else stored.unionByName(before)
+            partials.dense_ids(stored, partials.keys_of(fact, kind)).write.mode("append").parquet(load.path(table))
+            added = self.spark.read.schema(schemas.KEY_IDS).parquet(load.path(table))
+            ids[kind] = added if self.read(table) is None else self.read(table).unionByName(added)
+
+        run_concurrently([lambda kind=kind: number(kind) for kind in partials.DISTINCT_KEYS])
+        rows = {
+            "fact_daily": partials.daily_rows(fact),
+            "fact_category": partials.category_rows(fact, dim_product),
+            "fact_bitmaps": partials.bitmap_rows(fact, dim_product, ids),
+        }
+        partition = f"ingestion_date={d if isinstance(d, str) else d.isoformat()}"
+        run_concurrently([
+            lambda table=table, df=df: schemas.conform(df, table).drop("ingestion_date").coalesce(1).write.parquet(
+                load.path(table, partition))
+            for table, df in rows.items()])
+
+    def _stage_stored_summaries(self, load: Load, date: str, dim_product: DataFrame) -> None:
+        fact = self._partition("fact_sales", f"{self.path('fact_sales')}/ingestion_date={date}", date)
+        self._stage_summaries(load, fact, dim_product, date)
+
+    def _stage_quarantine(self, load: Load, refused: list[DataFrame], d: dt.date) -> None:
+        """Refused rows replace those of an earlier load of the date."""
+        path = load.path("load_quarantine", f"ingestion_date={d.isoformat()}")
+        if not refused:
+            if d.isoformat() in self.dates("load_quarantine"):
+                empty_partition(self.spark, "load_quarantine", "ingestion_date", path)
             return
-        # Sorting inside each task keeps date_key ranges tight in the
-        # row-group statistics.
-        rows = fact_partition_rows(others, batch, (days[0], days[1])).drop("ingestion_date")
-        rows.sortWithinPartitions("date_key", "region_key").write.mode("overwrite").parquet(folder)
+        rows = reduce(DataFrame.unionByName, refused)
+        schemas.conform(rows, "load_quarantine").drop("ingestion_date").write.parquet(path)
 
     # -- W3 ----------------------------------------------------------------
     def persist_anomalies(self, flags: DataFrame, detected_at=None) -> None:

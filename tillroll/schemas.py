@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     BooleanType,
     DateType,
     DecimalType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -52,6 +55,22 @@ REVENUE_FORECASTS = _s(("forecast_run_date", DateType(), False), ("forecast_date
                        ("horizon_days", IntegerType(), False), ("forecast_revenue", MONEY, False),
                        ("model_name", StringType(), False), ("created_at", TimestampType(), False))
 
+# Summaries and key dictionaries a load leaves (see ``operators.partials``).
+SUM = DecimalType(24, 2)
+FACT_DAILY = _s(("ingestion_date", DateType(), False), ("date_key", IntegerType(), False),
+                ("region_key", StringType(), False), ("revenue", SUM, False), ("returns", SUM, False),
+                ("units", LongType(), True), ("priced_lines", LongType(), False), ("return_lines", LongType(), False))
+FACT_CATEGORY = _s(("ingestion_date", DateType(), False), ("region_key", StringType(), False),
+                   ("category", StringType(), False), ("revenue", SUM, False), ("returns", SUM, False),
+                   ("units", LongType(), True))
+FACT_BITMAPS = _s(("ingestion_date", DateType(), False), ("kind", StringType(), False),
+                  ("date_key", IntegerType(), True), ("region_key", StringType(), True),
+                  ("category", StringType(), True), ("bucket", LongType(), False), ("bitmap", BinaryType(), False))
+KEY_IDS = _s(("member", StringType(), False), ("id", LongType(), False))
+# Rows a load refused: which table, every rule they break, and the row as JSON.
+QUARANTINE = _s(("ingestion_date", DateType(), False), ("table_name", StringType(), False),
+                ("violations", ArrayType(StringType()), False), ("record", StringType(), False))
+
 TABLES = {
     "dim_product": DIM_PRODUCT,
     "dim_customer": DIM_CUSTOMER,
@@ -60,6 +79,13 @@ TABLES = {
     "fact_sales": FACT_SALES,
     "anomaly_flags": ANOMALY_FLAGS,
     "revenue_forecasts": REVENUE_FORECASTS,
+    "fact_daily": FACT_DAILY,
+    "fact_category": FACT_CATEGORY,
+    "fact_bitmaps": FACT_BITMAPS,
+    "ids_invoice": KEY_IDS,
+    "ids_customer": KEY_IDS,
+    "ids_product": KEY_IDS,
+    "load_quarantine": QUARANTINE,
 }
 
 # Text length limits of the warehouse contract (checked by C3).
