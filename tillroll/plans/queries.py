@@ -11,6 +11,7 @@ persisted frames stand in for the tables the daily run writes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,8 @@ from pyspark.sql.types import (
 )
 
 from tillroll import schemas
-from tillroll.operators import anomaly, checks, clean, forecast, validate, views, warehouse
-from tillroll.plans.scenario import BATCH_DATE, RUN_DATE, Scenario, scenario
+from tillroll.operators import anomaly, checks, clean, forecast, metrics, validate, views, warehouse
+from tillroll.plans.scenario import BATCH_DATE, RUN_DATE, SECOND_DATE, Scenario, scenario
 
 
 # Integer columns that may hold nulls; compared as DOUBLE so every client
@@ -238,6 +239,62 @@ def vw_revenue_forecast(spark, sf):
     return views.revenue_forecast(scenario(spark, sf).forecasts)
 
 
+# -- from the summaries of a load sequence (two dates, then the first rerun) --------
+
+def daily_metrics_merged(spark, sf):
+    s = scenario(spark, sf)
+    d = s.dims_rerun
+    return metrics.daily_metrics_merged(s.summaries["fact_daily"], d["dim_date"], d["dim_region"])
+
+
+def daily_metrics_merged_bounded(spark, sf):
+    s = scenario(spark, sf)
+    d = s.dims_rerun
+    return metrics.daily_metrics_merged(s.summaries["fact_daily"], d["dim_date"], d["dim_region"], RUN_DATE)
+
+
+def vw_kpi_summary_merged(spark, sf):
+    s = scenario(spark, sf)
+    flags = anomaly.detect_anomalies(daily_metrics_merged(spark, sf))
+    return views.kpi_summary_merged(
+        s.summaries["fact_daily"], s.summaries["fact_bitmaps"], s.dims_rerun["dim_date"], flags)
+
+
+def vw_sales_trend_merged(spark, sf):
+    s = scenario(spark, sf)
+    d = s.dims_rerun
+    return views.sales_trend_merged(
+        s.summaries["fact_daily"], s.summaries["fact_bitmaps"], d["dim_date"], d["dim_region"])
+
+
+def vw_region_category_merged(spark, sf):
+    s = scenario(spark, sf)
+    return views.region_category_merged(
+        s.summaries["fact_category"], s.summaries["fact_bitmaps"], s.dims_rerun["dim_region"])
+
+
+def key_ids_dense(spark, sf):
+    """The dictionaries behind the bitmaps: ids without a gap or a repeat."""
+    parts = [ids.agg(
+        F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("members"), F.count_distinct("member").alias("distinct_members"),
+        F.count_distinct("id").alias("distinct_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+        for kind, ids in scenario(spark, sf).key_ids.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_quarantine(spark, sf):
+    """The second batch's facts against the first batch's dimensions alone:
+    references are absent, so a load refuses these rows and says why."""
+    s = scenario(spark, sf)
+    rows = s.batch_b.star["fact_sales"].withColumn(checks.VIOLATIONS, checks.row_violations("fact_sales"))
+    rows = checks.with_orphans(rows, "fact_sales", {t: s.batch_a.star[t] for t in warehouse.DIMENSION_KEYS})
+    refused = checks.quarantined(rows, "fact_sales", SECOND_DATE)
+    return refused.select(
+        "ingestion_date", "table_name", F.array_join("violations", ",").alias("violations"),
+        F.get_json_object("record", "$.transaction_id").alias("transaction_id"),
+        F.get_json_object("record", "$.product_key").alias("product_key"))
+
+
 # -- checks -------------------------------------------------------------------------
 
 def _loaded_tables(s: Scenario, with_batch_fact: bool = False) -> dict[str, DataFrame]:
@@ -254,6 +311,12 @@ def check_unique(spark, sf):
     return checks.unique_report(_loaded_tables(scenario(spark, sf), with_batch_fact=True))
 
 
+def check_unique_loaded(spark, sf):
+    """After the load sequence: sales are told by id and day, as loads do."""
+    s = scenario(spark, sf)
+    return checks.unique_report({**s.dims_rerun, "fact_sales": s.fact_rerun}, checks.LOADED_KEYS)
+
+
 def check_foreign_keys(spark, sf):
     return checks.foreign_key_report(_loaded_tables(scenario(spark, sf)))
 
@@ -286,6 +349,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomaly_baselines, anomaly_flags, anomaly_by_severity,
         forecast_levels, forecast_rows, forecast_repeated_horizon,
         vw_kpi_summary, vw_sales_trend, vw_region_category_breakdown, vw_anomalies, vw_revenue_forecast,
+        daily_metrics_merged, daily_metrics_merged_bounded, vw_kpi_summary_merged, vw_sales_trend_merged,
+        vw_region_category_merged, key_ids_dense, load_quarantine, check_unique_loaded,
         check_unique, check_foreign_keys, check_foreign_keys_first_dims, check_not_null,
     ]
 }

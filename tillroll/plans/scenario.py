@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import anomaly, clean, forecast, metrics, star, validate, warehouse
+from tillroll.operators import anomaly, clean, forecast, metrics, partials, star, validate, warehouse
 from tillroll.sources.retail_adapter import raw_transactions
 
 BATCH_DATE = dt.date(2026, 7, 21)
@@ -193,6 +193,41 @@ class Scenario:
             for t, key in warehouse.DIMENSION_KEYS.items()
         }
 
+    # -- summaries the loads leave -------------------------------------------
+    @cached_property
+    def key_ids(self) -> dict[str, DataFrame]:
+        """The key dictionaries after both loads and the rerun."""
+        found = {}
+        for kind in partials.DISTINCT_KEYS:
+            ids = None
+            for _, rows in self._load_rows():
+                ids = partials.add_ids(ids, partials.keys_of(rows, kind))
+            found[kind] = _stored(ids)
+        return found
+
+    def _load_rows(self) -> list[tuple[dt.date, DataFrame]]:
+        """The fact rows each load of the sequence wrote."""
+        return [(d, fact.where(F.col("ingestion_date") == F.lit(d))) for d, fact in (
+            (BATCH_DATE, self.fact_ab), (SECOND_DATE, self.fact_ab), (BATCH_DATE, self.fact_rerun))]
+
+    @cached_property
+    def summaries(self) -> dict[str, DataFrame]:
+        """The summary tables after the sequence: each load replaced its own
+        date's rows."""
+        product = self.dims_rerun["dim_product"]
+        made = {
+            "fact_daily": partials.daily_rows,
+            "fact_category": lambda rows: partials.category_rows(rows, product),
+            "fact_bitmaps": lambda rows: partials.bitmap_rows(rows, product, self.key_ids),
+        }
+        tables = {}
+        for name, rows_of in made.items():
+            state = None
+            for d, rows in self._load_rows():
+                state = partials.replace_date(state, rows_of(rows), d)
+            tables[name] = _stored(state)
+        return tables
+
     def daily_of(self, fact: DataFrame, dims: dict[str, DataFrame], run_date=None) -> DataFrame:
         """Daily metrics of a fact state; persisted (one row per day and
         region) because both models and the run-date lookups read them."""
