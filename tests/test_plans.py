@@ -106,3 +106,38 @@ def test_equal_ids_on_different_days_both_survive(spark, raw_frame):
     first, second = same.where("date_key = 20101201"), same.where("date_key = 20101202")
     assert warehouse.fact_partition_rows(first, second, (20101202, 20101202)).count() == 1
     assert warehouse.fact_partition_rows(same, second).count() == 0
+
+
+def test_keep_one_aggregates_are_hash_aggregates(spark, raw_frame):
+    """The batch meets hash aggregates over fixed-width buffers; rows are
+    sorted only where they share a minimum or a key."""
+    from pyspark.sql import functions as F
+    from tillroll.operators import warehouse
+
+    rows = [(str(i % 9), f"S{i % 4}", f"D{i % 3}", "1", f"{1 + i % 3:02d}/12/2010 08:00", "1.0", str(i % 5), "UK")
+            for i in range(60)]
+    labelled = validate.label_rows(raw_frame(rows), dt.date(2026, 7, 21))
+    cleaned = clean.clean_transactions(validate.accepted_rows(labelled)).checkpoint()
+    tables = star.build_star_schema(cleaned)
+    for name in ("dim_product", "dim_customer"):
+        text = plan_text(tables[name])
+        first = text[text.index("min(_at"):] if "min(_at" in text else ""
+        assert "HashAggregate" in text and first
+    fact = tables["fact_sales"].unionByName(tables["fact_sales"].limit(5)).checkpoint()
+    new = warehouse.fact_partition_rows(fact.where("date_key = 20101201"), fact)
+    assert "partial_count(1)" in plan_text(new) and "HashAggregate" in plan_text(new)
+    got = [tuple(r) for r in new.collect()]
+    want = fact.where("date_key <> 20101201").groupBy("transaction_id", "date_key").agg(
+        F.min(F.struct(*[c for c in fact.columns if c not in ("transaction_id", "date_key")])).alias("r"))
+    want = [tuple(r) for r in want.select(*[F.col(c) if c in ("transaction_id", "date_key") else F.col(f"r.{c}")
+                                            for c in fact.columns]).collect()]
+    assert sorted(got) == sorted(want) and len(got) > 5
+
+
+def test_keep_first_with_ties_and_nulls(spark):
+    schema = "StockCode string, Description string, InvoiceNo string, InvoiceDate timestamp_ntz"
+    t1, t2 = dt.datetime(2010, 12, 1, 8), dt.datetime(2010, 12, 1, 9)
+    rows = [("A", "late", "1", t2), ("A", "b", "2", t1), ("A", "a", "2", t1), ("A", "z", "10", t1),
+            ("B", "no date", "9", None), ("B", "dated", "1", t1), (None, "no code", "1", t1), (None, "later", "0", t2)]
+    got = star._keep_first(spark.createDataFrame(rows, schema), "StockCode", "Description", "stock_code", "description")
+    assert {tuple(r) for r in got.collect()} == {("A", "z"), ("B", "no date"), (None, "no code")}

@@ -52,4 +52,4 @@ def test_hot_stock_code_and_duplicate_rows(spark, raw_frame):
     assert cleaned.count() == 300
     products = {r.stock_code: r.description for r in s["dim_product"].collect()}
     assert products["HOT"] == "D0"  # earliest day, then invoice
-    assert warehouse.dedup_batch_facts(s["fact_sales"]).count() == 300
+    assert warehouse.fact_partition_rows(None, s["fact_sales"]).count() == 300

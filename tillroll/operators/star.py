@@ -19,12 +19,28 @@ FACT_COLUMNS = [
 ]
 
 
+def order_micros(at: str) -> F.Column:
+    """A timestamp as a long to order by; null comes first, as in a struct."""
+    return F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(2**63)))
+
+
 def _keep_first(df: DataFrame, key: str, attr: str, out_key: str, out_attr: str) -> DataFrame:
     """A11 with an explicit total order (Q9): earliest InvoiceDate, then
-    InvoiceNo, then the attribute itself. ``min_by`` is map-side combinable,
-    so a key that holds a third of all rows is reduced before the shuffle."""
-    order = F.struct(F.col("InvoiceDate"), F.col("InvoiceNo"), F.col(attr))
-    return df.groupBy(F.col(key).alias(out_key)).agg(F.min_by(F.col(attr), order).alias(out_attr))
+    InvoiceNo, then the attribute itself.
+
+    Two phases. The earliest moment per key is a minimum of longs, which a
+    hash aggregate holds in place: one row per key and task is shuffled, also
+    of a key with a third of all rows, and nothing is sorted. Text is compared
+    only among the rows of that moment.
+    """
+    rows = df.select(F.col(key).alias(out_key), F.col(attr).alias(out_attr), "InvoiceNo",
+                     order_micros("InvoiceDate").alias("_at"))
+    first = rows.groupBy(out_key).agg(F.min("_at").alias("_at"))
+    tied = rows.alias("r").join(
+        first.alias("f"), F.col(f"r.{out_key}").eqNullSafe(F.col(f"f.{out_key}")) & (F.col("r._at") == F.col("f._at")),
+        "left_semi")
+    order = F.struct("InvoiceNo", out_attr)
+    return tied.groupBy(out_key).agg(F.min_by(out_attr, order).alias(out_attr))
 
 
 def customer_id_text() -> F.Column:

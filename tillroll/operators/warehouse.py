@@ -72,23 +72,15 @@ def insert_if_absent(existing: DataFrame | None, batch: DataFrame, key: str) ->
     return added if existing is None else existing.unionByName(added)
 
 
-def dedup_batch_facts(batch: DataFrame) -> DataFrame:
-    """One row per transaction_id and day inside a batch.
-
-    The id is a hash of 64 bits, so two different sales may share one; equal
-    transaction text implies an equal day, so the day is part of the match.
-
-    Kept row: the smallest by the other fact columns in table order, so the
-    choice is deterministic under any partitioning. It is an aggregate with
-    a map-side partial ``min``, not a window, so one transaction repeated a
-    third of the batch is reduced before the shuffle.
-    """
-    keys = [*SALE_KEY, "ingestion_date"]
-    rest = [c for c in FACT_COLUMNS if c not in keys]
+def fold_repeats(repeats: DataFrame) -> DataFrame:
+    """One row per sale of rows that share theirs: the smallest by the
+    other fact columns in table order, so the choice is deterministic under
+    any partitioning. Tasks fold repeats before the shuffle."""
+    rest = [c for c in FACT_COLUMNS if c not in SALE_KEY]
     return (
-        batch.groupBy(*keys)
+        repeats.groupBy(*SALE_KEY)
         .agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in FACT_COLUMNS])
+        .select(*[F.col(c) if c in SALE_KEY else F.col(f"_row.{c}").alias(c) for c in FACT_COLUMNS])
     )
 
 
@@ -96,22 +88,37 @@ def fact_partition_rows(
     other_dates: DataFrame | None,
     batch: DataFrame,
     days: tuple[int, int] | None = None,
+    watched: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a load writes into its own ``ingestion_date`` partition.
 
-    ``other_dates`` is the fact table without the batch's date (its own old
-    partition is deleted first). A sale is told by its id and day, so only
-    stored rows of the batch's ``days`` (smallest and largest ``date_key``)
-    can collide: given, the range is pushed into the stored scan, whose files
-    are sorted by day.
+    ``batch`` holds one ingestion date. ``other_dates`` is the fact table
+    without it (its own old partition is deleted first). A sale is told by
+    its id and day: the id is a hash of 64 bits, so two sales may share one,
+    and equal transaction text implies an equal day. Only stored rows of the
+    batch's ``days`` (smallest and largest ``date_key``) can collide: given,
+    the range is pushed into the stored scan, whose files are sorted by day.
+
+    Keys travel first: a hash aggregate counts each sale of the batch, and
+    the counts meet the stored keys. What comes out, sales that repeat or
+    that another date holds, is normally a short list; all other rows pass
+    it without being sorted or shuffled. Only repeats are folded over whole
+    rows. ``watched`` are the same rows as ``batch``, read for the bulk.
     """
-    deduped = dedup_batch_facts(batch)
+    batch = batch.select(*FACT_COLUMNS)
+    counted = batch.groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
     if other_dates is None:
-        return deduped
-    stored = other_dates.select(*SALE_KEY)
-    if days is not None:
-        stored = stored.where(F.col("date_key").between(*days))
-    return deduped.join(stored, SALE_KEY, "left_anti")
+        odd = counted.where("_n > 1").withColumn("_held", F.lit(False))
+    else:
+        stored = other_dates.select(*SALE_KEY)
+        if days is not None:
+            stored = stored.where(F.col("date_key").between(*days))
+        held = counted.join(stored, SALE_KEY, "left_semi").select(*SALE_KEY, F.lit(True).alias("_held"))
+        odd = counted.join(held, SALE_KEY, "left").where((F.col("_n") > 1) | F.col("_held"))
+    bulk = (batch if watched is None else watched.select(*FACT_COLUMNS)).join(odd.select(*SALE_KEY), SALE_KEY, "left_anti")
+    repeated = odd.where((F.col("_n") > 1) & ~F.coalesce(F.col("_held"), F.lit(False))).select(*SALE_KEY)
+    repeats = fold_repeats(batch.join(repeated, SALE_KEY, "left_semi"))
+    return bulk.select(*FACT_COLUMNS).unionByName(repeats)
 
 
 def load_fact(existing: DataFrame | None, batch: DataFrame, ingestion_date) -> DataFrame:
@@ -243,10 +250,12 @@ class Warehouse:
         return self.dates("fact_sales") <= self.dates("fact_daily")
 
     def _admit(self, checked: DataFrame, table: str, write) -> int:
-        """Writes the rows without violations; the same pass counts the others."""
+        """Writes the rows without violations; the same pass counts the
+        others. ``write`` gets the rows to write, and the same rows unwatched
+        for what it has to look up."""
         seen = Observation()
         watched = checked.observe(seen, F.count_if(F.size(checks.VIOLATIONS) > 0).alias("refused"))
-        write(checks.admitted(watched, table))
+        write(checks.admitted(watched, table), checks.admitted(checked, table))
         return int(seen.get.get("refused") or 0)
 
     def _stage_dimensions(self, load: Load, star: dict[str, DataFrame], d: dt.date):
@@ -258,7 +267,7 @@ class Warehouse:
             batch = star[table].select(*schemas.TABLES[table].names).distinct()
             batch = batch.withColumn(checks.VIOLATIONS, checks.row_violations(table))
             batch = checks.with_repeats(batch, table, stored, key)
-            n = self._admit(batch, table, lambda rows: dimension_rows_to_add(stored, rows, key).write.parquet(
+            n = self._admit(batch, table, lambda rows, _: dimension_rows_to_add(stored, rows, key).write.parquet(
                 load.path(table)))
             added = self.spark.read.schema(schemas.TABLES[table]).parquet(load.path(table))
             after[table] = added if stored is None else stored.unionByName(added)
@@ -283,10 +292,10 @@ class Warehouse:
         others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
         path = load.path("fact_sales", f"ingestion_date={d.isoformat()}")
 
-        def write(rows: DataFrame) -> None:
+        def write(watched: DataFrame, rows: DataFrame) -> None:
             # Sorting inside each task keeps date_key ranges tight in the
             # row-group statistics.
-            rows = fact_partition_rows(others, rows, (days[0], days[1])).drop("ingestion_date")
+            rows = fact_partition_rows(others, rows, (days[0], days[1]), watched).drop("ingestion_date")
             rows.sortWithinPartitions("date_key", "region_key").write.parquet(path)
 
         refused = {}
