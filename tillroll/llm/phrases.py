@@ -421,10 +421,12 @@ def collocations(docs: DataFrame, best: int = BEST, salts: int = 64, **options)
     found = stored(scored(nodes), "phrase-scores")
     salt = F.pmod(F.xxhash64(*[f"h{d}" for d in range(1, DEPTH + 1)]), F.lit(salts))
     falling = [F.desc("score"), F.desc("a")]
-    level = found.select("lang", "score", "a").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-    level = _first(_first(level, best, falling, "lang", "salt"), best, falling, "lang")
+    found = found.withColumn("salt", salt)
+    level = _first(_first(found.select("lang", "score", "a", "salt"), best, falling, "lang", "salt"), best, falling, "lang")
     level = level.groupBy("lang").agg(F.min(F.struct("score", "a")).alias("last"))
-    kept = found.join(level, "lang").where(F.struct("score", "a") >= F.col("last")).drop("last")
+    # A row per language and salt: the join's keys part a language's candidates as well.
+    level = level.select("lang", "last", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    kept = found.join(level, ["lang", "salt"]).where(F.struct("score", "a") >= F.col("last")).drop("last", "salt")
     words = nodes.where("depth = 1").groupBy(F.col("h1").alias("h")).agg(F.max("word").alias("word"))
     places = F.array(*[F.struct(F.lit(d).alias("at"), F.col(f"h{d}").alias("h")) for d in range(1, DEPTH + 1)])
     spelled = kept.select("*", F.explode(F.filter(places, lambda p: p["h"] != 0)).alias("p")).select("*", "p.*").drop("p")
