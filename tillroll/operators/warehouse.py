@@ -210,6 +210,8 @@ class Warehouse:
         schema = schemas.TABLES[table]
         if table == "anomaly_flags":
             schema = StructType([*schema.fields, StructField(ANOMALY_PARTITION, IntegerType())])
+        if not Files(self.spark, self.root).exists(self.path(table)):
+            return None
         df = read_parquet_or_none(self.spark, self.path(table), schema)
         return None if df is None else schemas.conform(df, table)
 
