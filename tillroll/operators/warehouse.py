@@ -336,7 +336,7 @@ class Warehouse:
         }
         partition = f"ingestion_date={d if isinstance(d, str) else d.isoformat()}"
         run_concurrently([
-            lambda table=table, df=df: schemas.conform(df, table).drop("ingestion_date").coalesce(1).write.parquet(
+            lambda table=table, df=df: schemas.conform(df, table).drop("ingestion_date").write.parquet(
                 load.path(table, partition))
             for table, df in rows.items()])
 
