@@ -10,15 +10,42 @@ from tillroll.llm.common import work_path
 from tillroll.llm.tokens import Encoder
 
 ODD = ["", "  a  b\n\n c ", "İstanbul ſ 12½ 3² x's 'S DON'T", "日本 語 text", "á e\x85f\x1cg\xa0 h",
-       "<|endoftext|> a", "\r\n\tx  \n", "'s't it's I'LL", "ǅ ß ĳ İ", "ªº µ_x__y", "Å K", "a \nb", "a\xa0 b", " x",
+       "<|endoftext|> a", "b<|endoftext|><|startoftext|>", " <|ENDOFTEXT|> <|StartOfText|> c", "<|endoftext| >",
+       "\r\n\tx  \n", "'s't it's I'LL", "ǅ ß ĳ İ", "ªº µ_x__y", "Å K", "a \nb", "a\xa0 b", " x",
        "x \t", "a 's b ' s", "q" * 3000, "x\n" * 50]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(vocabulary, name):
     e = Encoder(vocabulary(name), held=10)
-    assert e(ODD) == e.whole(ODD)
-    assert e(ODD[::-1]) == e.whole(ODD[::-1])
+    plain = Tokenizer.from_file(vocabulary(name))
+    truth = [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ODD]
+    assert e.kind == name.split("_")[0]
+    assert e(ODD) == truth
+    assert e(ODD[::-1]) == truth[::-1]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_are_the_librarys(vocabulary, name):
+    plain, e = Tokenizer.from_file(vocabulary(name)), Encoder(vocabulary(name))
+    for number, token in plain.get_added_tokens_decoder().items():
+        for text in (token.content, f"a {token.content}b", token.content * 3, f"x\n{token.content} "):
+            ids = plain.encode(text, add_special_tokens=False).ids
+            assert number in ids and e([text]) == [np.asarray(ids, "<u4").tobytes()]
+
+
+def test_other_rules_go_whole(vocabulary, tmp_path):
+    import json
+
+    file = json.load(open(vocabulary("byte_bpe_50k.json")))
+    file["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
+        {"type": "Digits", "individual_digits": True}, file["pre_tokenizer"]]}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(file))
+    plain, e = Tokenizer.from_file(str(other)), Encoder(str(other))
+    assert e.kind is None
+    texts = ["room 1234 and 56", "a b"]
+    assert e(texts) == [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
 def test_round_trip_and_digest(spark, docs, vocabulary):
@@ -26,7 +53,6 @@ def test_round_trip_and_digest(spark, docs, vocabulary):
     rows = [(7 * i % 41, ODD[i % len(ODD)]) for i in range(41)] + [(100, None), (None, "null id"), (3, "again")]
     got = token_store.store_digest(docs(rows), path, end_id=2).collect()
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     start = 0
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     by_start = sorted(got, key=lambda r: r.start)

@@ -5,11 +5,14 @@ microseconds a word. Two public tokenizers split text into words before any
 merge, so a text's ids are the ids of its words put together. The encoder
 splits texts made of characters whose classes are stable across Unicode
 versions, asks the library for words it has not met, and remembers them in
-tables of bounded size. Any other text goes to the library whole.
+tables of bounded size. Any other text goes to the library whole; so does
+one that holds the string of an added token, which the library takes for that
+token, and every text of a tokenizer with other rules than the two known.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -29,6 +32,12 @@ SPLITS = {
     "byte": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?{OTHER}+|\s+(?!\S)|\s+"),
     "word": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|{OTHER}+"),
 }
+# The library's names of the two tokenizers' rules.
+RULES = {
+    "byte": (None, ["ByteLevel"]),
+    "word": (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]),
+}
+SPLIT_RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # A byte's sign in byte-level vocabularies: itself where it is a visible
 # Latin-1 character, else the next character from 256 on.
 _HIDDEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
@@ -50,19 +59,39 @@ class _Held(dict):
         return value
 
 
+def _steps(rule: dict | None) -> list[dict]:
+    return [] if rule is None else rule.get("normalizers") or rule.get("pretokenizers") or [rule]
+
+
+def kind_of(file: dict) -> str | None:
+    """Which of ``RULES`` a tokenizer's file has, if any."""
+    normal, parts = _steps(file.get("normalizer")), _steps(file.get("pre_tokenizer"))
+    found = ([s["type"] for s in normal] or None, [s["type"] for s in parts])
+    kind = next((k for k, rules in RULES.items() if rules == found), None)
+    if file.get("truncation") or file.get("padding") or file["model"].get("ignore_merges") or kind is None:
+        return None
+    last = parts[-1]
+    fits = not last["add_prefix_space"] and last.get("use_regex", True) == (kind == "byte")
+    if kind == "word":
+        fits = fits and parts[0]["pattern"] == {"Regex": SPLIT_RULE} and parts[0]["invert"] and (
+            parts[0]["behavior"] == "Removed" and normal[1]["pattern"] == {"Regex": r"\s+"} and normal[1]["content"] == " ")
+    return kind if fits else None
+
+
 class Encoder:
-    """Texts to ids as little-endian unsigned 32-bit bytes, without special
-    tokens; their strings in a text count as ordinary text."""
+    """Texts to ids as little-endian unsigned 32-bit bytes, as the library's
+    ``encode`` with ``add_special_tokens=False`` gives them."""
 
     def __init__(self, path: str, held: int = HELD):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        rules = self.tokenizer.pre_tokenizer
-        self.kind = None if rules is None else "word" if "Sequence" in repr(rules) else "byte"
+        self.kind = kind_of(json.loads(self.tokenizer.to_str()))
         self.split = SPLITS.get(self.kind)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Lower-case and upper-case alike: some are looked for in folded text.
+        self.added = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
         # For words that are split and lower-cased already; the merges alone.
         self.merge = self.tokenizer.model.tokenize
         self.words = _Held(self._word, held)
@@ -83,9 +112,13 @@ class Encoder:
         """A run's ids; in a byte-level vocabulary with the space before it."""
         return self._split(" " + run if self.kind == "byte" else run)
 
+    def _is_odd(self, text: str) -> bool:
+        """Whether a text goes to the library whole."""
+        return self.kind is None or bool(PLAIN.search(text) or self.added.search(text))
+
     def _splits_at_spaces(self, text: str) -> bool:
         """Whether the ids are those of the runs between single spaces."""
-        if self.kind is None or PLAIN.search(text):
+        if self._is_odd(text):
             return False
         return self.kind == "word" or not (text[:1] == " " or text[-1:] == " " or SPACES.search(text))
 
@@ -113,12 +146,12 @@ class Encoder:
     def _alone(self, text: str) -> bytes:
         if not text:
             return b""
-        return self.whole([text])[0] if self.kind is None or PLAIN.search(text) else self._split(text)
+        return self.whole([text])[0] if self._is_odd(text) else self._split(text)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if self.kind == "word":
-            texts = [t if PLAIN.search(t) else t.lower() for t in texts]
+            texts = [t if self._is_odd(t) else t.lower() for t in texts]
         fit = [self._splits_at_spaces(t) for t in texts]
         found = iter(self._by_runs([t for t, f in zip(texts, fit) if f]) if any(fit) else ())
         return [next(found) if f else self._alone(t) for t, f in zip(texts, fit)]
