@@ -29,6 +29,39 @@ def test_differencing_known_cases():
     assert len(packing.windows_of([60, 60, 60], 100)) == 3  # two would hold 180 of 200, but none fits two
 
 
+def test_full_blocks_are_divided_once(monkeypatch):
+    tried = []
+    plain = packing.differencing
+    monkeypatch.setattr(packing, "differencing", lambda sizes, ways: tried.append(ways) or plain(sizes, ways))
+    block = packing._Block(1024, 256, 64)
+    while block.tokens < block.goal:
+        size = min(256, block.goal - block.tokens, 1 + len(block.rows) * 37 % 256)
+        block.rows.append((len(block.rows), 0, size, b"", size))
+        block.tokens += size
+    assert sum(r[2] for w in block.windows() for r in w) == block.goal and tried == [64]
+
+
+def test_equal_pieces_fall_into_equal_windows():
+    windows = packing.windows_of([100] * 24, 400)
+    assert sorted(map(len, windows)) == [4] * 6
+
+
+def brute_force(sizes, ways):
+    """The least possible largest window."""
+    from itertools import product
+
+    return min(max(sum(s for s, w in zip(sizes, where) if w == k) for k in range(ways))
+               for where in product(range(ways), repeat=len(sizes)))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 50), min_size=1, max_size=7), st.integers(1, 3))
+def test_differencing_is_near_the_best(sizes, ways):
+    largest = max(sum(sizes[i] for i in w) for w in packing.differencing(sizes, ways))
+    best = brute_force(sizes, ways)
+    assert best <= largest <= best * (4 / 3 - 1 / (3 * max(ways, 1))) + 1e-9
+
+
 def test_pieces_hold_every_token_once(docs, vocabulary):
     path = vocabulary("byte_bpe_50k.json")
     rows = [(i, f"word {i} " * (i * 13 % 700)) for i in range(120)] + [(500, None), (None, "x"), (7, "seven again")]

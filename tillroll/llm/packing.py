@@ -68,9 +68,10 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
     return [list(p) for p in heap[0][3]]
 
 
-def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Windows of at most ``capacity``; their number rises until all fit."""
-    ways = max(1, -(-sum(sizes) // capacity))
+def windows_of(sizes: list[int], capacity: int, least: int = 1) -> list[list[int]]:
+    """Windows of at most ``capacity``; their number rises until all fit, from
+    the fewest that can hold all or from ``least``."""
+    ways = max(1, least, -(-sum(sizes) // capacity))
     while True:
         windows = differencing(sizes, ways)
         if all(sum(sizes[i] for i in w) <= capacity for w in windows):
@@ -80,7 +81,7 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
 
 class _Block:
     def __init__(self, sequence: int, piece: int, windows: int):
-        self.sequence, self.piece = sequence, piece
+        self.sequence, self.piece, self.full = sequence, piece, windows
         # A little room per window, as near-equal windows differ by a few tokens.
         self.goal = windows * (sequence - max(1, piece // 16))
         self.clear()
@@ -90,7 +91,8 @@ class _Block:
         self.tokens = 0
 
     def windows(self) -> list[list[tuple]]:
-        found = windows_of([r[2] for r in self.rows], self.sequence)
+        # A full block has room in that many windows, and no room in fewer.
+        found = windows_of([r[2] for r in self.rows], self.sequence, self.full if self.tokens == self.goal else 1)
         return [[self.rows[i] for i in w] for w in found]
 
 
