@@ -49,7 +49,7 @@ SIGN = "▁"
 OWN_SIGN = 0x110000  # beyond Unicode: a space sign of the text itself
 LONG = 2048  # characters; longer runs are worked on window by window
 WINDOW = 1 << 15  # characters of a long run's window
-AT_ONCE = 1_000_000  # characters of the runs worked on together
+AT_ONCE = 400_000  # characters of the runs worked on together
 HELD = 6_000_000  # edges of remembered lattices, before a slice adds its own
 TEMPERATURE = 1.0
 DRAW_BITS = 40
