@@ -10,8 +10,9 @@ as well. Inputs are the text alone.
 
 Fitting takes at most ``SAMPLE`` labelled documents, half of each class where
 there are as many, the smallest by a hash of their id, weighted back to the
-shares of all labelled rows; of a fitted document at most ``FIT_PASSAGES``
-evenly spaced passages. Scoring reads every passage of every document.
+shares of all labelled rows. Fitting, like scoring, reads every passage of a
+document; the driver holds ``FEATURES`` small floats for each passage of the
+fitted documents, a step's passages go through the model in parts.
 
 Results: one row per row. Null text counts as empty; an empty text is one
 empty passage. Labels without a class or id are left out; a document labelled
@@ -34,7 +35,6 @@ from tillroll.llm.common import crc32_of_id, id_and_text, slices
 
 PASSAGE = 64
 SAMPLE = 8000
-FIT_PASSAGES = 32
 ACCEPT = 0.7
 HIDDEN, GATES, STEPS, BATCH, RATE = 16, 8, 900, 256, 0.01
 
@@ -77,12 +77,10 @@ def passage_features(words: list[str]) -> list[float]:
     ]
 
 
-def bag(text: str, most: int | None = None) -> np.ndarray:
-    """Features of the passages of a text, of ``most`` evenly spaced ones."""
+def bag(text: str) -> np.ndarray:
+    """Features of the passages of a text."""
     words = text.split()
     starts = list(range(0, len(words), PASSAGE)) or [0]
-    if most and len(starts) > most:
-        starts = [starts[i * len(starts) // most] for i in range(most)]
     return np.array([passage_features(words[a:a + PASSAGE]) for a in starts])
 
 
@@ -160,8 +158,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, seed: i
 def _bag_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
-            bags = [bag(t, FIT_PASSAGES).ravel().tolist() for t in rows.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bags, pa.list_(pa.float64()))],
+            bags = [bag(t).astype(np.float32).tobytes() for t in rows.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(bags, pa.binary())],
                                              ["doc_id", "passages"])
 
 
@@ -180,14 +178,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, samp
     texts = id_and_text(docs)
     chosen_texts = texts.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` small rows
     rows = chosen_texts.select("doc_id", "text", "label")
-    bags = rows.select("doc_id", "text").mapInArrow(_bag_batches, "doc_id long, passages array<double>")
+    bags = rows.select("doc_id", "text").mapInArrow(_bag_batches, "doc_id long, passages binary")
     label = {r["doc_id"]: r["label"] for r in chosen.collect()}
-    found = sorted(((r["doc_id"], r["passages"]) for r in bags.collect()))
+    found = sorted((r["doc_id"], bytes(r["passages"])) for r in bags.toLocalIterator())
     y = np.array([label[i] for i, _ in found], float)
     if len(set(y)) < 2:
         return float(y.mean()) if len(y) else 1.0
     weights = np.array([totals[int(c)] / max(1, (y == c).sum()) for c in y])
-    return fit([np.array(p).reshape(-1, FEATURES) for _, p in found], y, weights)
+    return fit([np.frombuffer(p, np.float32).reshape(-1, FEATURES) for _, p in found], y, weights)
 
 
 def _score_batches(model):
