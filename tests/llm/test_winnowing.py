@@ -76,3 +76,34 @@ def test_bucket_counts_cuts(spark):
     assert all(r.b == sum(c < r.doc_id for c in cuts) for r in df.collect())
     assert spark.sql("select cast(null as long) doc_id").select(w._bucket([]).alias("b")).first().b == -1
     assert df.filter(F.col("b") < 0).count() == 0
+
+
+def tokens(spark, text):
+    return spark.createDataFrame([(text,)], "t string").select(F.regexp_extract_all("t", F.lit(w.TOKENS), F.lit(0))).first()[0]
+
+
+def test_tokens_hold_every_character(spark):
+    r = random.Random(2)
+    for _ in range(60):
+        text = "".join(r.choices("abcxz01357_-+ \n\u00e9\u65e5", [9, 9, 9, 9, 9, 1, 1, 1, 1, 1, 1, 1, 1, 2, 1, 1, 1], k=r.randint(0, 120)))
+        got = tokens(spark, text)
+        assert "".join(got) == "".join(text.split())
+        assert all(0 < len(t) <= w.TOKEN for t in got)
+        assert [t for t in text.split() if len(t) <= w.TOKEN] == [t for t in text.split() if t in got and len(t) <= w.TOKEN]
+
+
+def test_a_shift_in_unbroken_text_keeps_the_guarantee(docs):
+    r = random.Random(3)
+    for alphabet in ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789abcdef", "\u65e5\u672c\u8a9e\u6587\u5b57"):
+        text = "".join(r.choices(alphabet, k=2000))
+        a, b = ({p.hash for p in x.picks} for x in w.fingerprints(docs([(1, text), (2, "x" + text)])).collect())
+        assert len(a & b) >= len(a) - 4
+
+
+def test_a_bucket_is_a_partition(spark, docs):
+    rows = docs([(i, "some words") for i in range(4000)])
+    df = w.fingerprinted_with_next(rows, buckets=16)
+    parts = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 16 and max(p["count"] for p in parts) < 2 * 4000 / 16
+    plan = df._jdf.queryExecution().executedPlan().toString()  # the window needs no shuffle of its own
+    assert plan.count("shufflepartitionidpassthrough(") == 1 and plan.count("hashpartitioning(bucket") == 1

@@ -1,8 +1,10 @@
 """Document fingerprints by winnowing, in DataFrame functions alone.
 
-A text is cut into tokens: words of up to ``TOKEN`` characters (a longer run
-of characters counts as several), so that prose and unbroken text alike have
-positions. Every run of ``K`` tokens is hashed to 31 bits; of every window
+A text is cut into tokens: words of up to ``TOKEN`` characters are whole; a
+longer run is cut behind each character of ``CUTS`` and each character outside
+ASCII, so its own content decides where, and an inserted character moves no
+cut but those next to it (only ``TOKEN`` or more characters without one are cut
+by length, up to the next one). Prose and unbroken text alike have positions. Every run of ``K`` tokens is hashed to 31 bits; of every window
 of ``WINDOW`` neighbouring hashes the smallest is chosen, the rightmost of
 equal ones, and kept with its position. Two texts that share
 ``K + WINDOW - 1`` tokens in a row share a chosen hash there: that is the
@@ -33,6 +35,9 @@ from tillroll.llm.common import id_and_text, shuffle_partitions
 K = 4
 WINDOW = 4  # a power of two
 TOKEN = 16
+CUTS = r"aeiouAEIOU02468\p{P}\p{S}"  # a run over ``TOKEN`` characters is cut behind these
+TOKENS = (rf"(?<!\S)\S{{1,{TOKEN}}}(?!\S)|[[^\s{CUTS}]&&[\x00-\x7F]]{{0,{TOKEN - 1}}}(?:[{CUTS}]|[^\s\x00-\x7F])"
+          rf"|[[^\s{CUTS}]&&[\x00-\x7F]]{{1,{TOKEN}}}")
 FAR = (1 << 31) - 1
 
 
@@ -49,7 +54,7 @@ def winnow(df: DataFrame, text: str, out: str, k: int = K, window: int = WINDOW)
         hash31 = F.shiftrightunsigned(F.xxhash64(*[F.get(tokens, i + j) for j in range(k)]), 33)
         return F.shiftleft(hash31, 31) + (F.lit(FAR) - i).cast("long")
 
-    df = df.withColumn(tokens, F.regexp_extract_all(text, F.lit(rf"\S{{1,{TOKEN}}}"), F.lit(0)))
+    df = df.withColumn(tokens, F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)))
     df = df.withColumn(grams, F.greatest(F.size(tokens) - (k - 1), F.least(F.size(tokens), F.lit(1))))
     places = F.when(F.col(grams) > 0, F.sequence(F.lit(0), F.col(grams) - 1)).otherwise(F.expr("cast(array() as array<int>)"))
     df = df.withColumn(least, F.transform(places, gram))
@@ -118,7 +123,7 @@ def fingerprinted_with_next(docs: DataFrame, buckets: int | None = None, k: int
     rows = id_and_text(docs)
     shares = F.array(*[F.lit(i / n) for i in range(1, max(2, n))])
     cuts = rows.agg(F.percentile_approx("doc_id", shares, F.lit(20 * n))).first()[0] or []
-    rows = rows.withColumn("bucket", _bucket(sorted(set(cuts))))
+    rows = rows.withColumn("bucket", _bucket(sorted(set(cuts))) + 1)  # 0 to n
     falling = Window.orderBy(F.col("bucket").desc())  # a row per bucket
     every = falling.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("head_id")).select(
@@ -129,7 +134,7 @@ def fingerprinted_with_next(docs: DataFrame, buckets: int | None = None, k: int
         (F.col("bucket") == F.col("head_bucket")) & F.col("doc_id").eqNullSafe(F.col("head_id")))
     copies = copies.groupBy("goes_to").agg(F.min("text").alias("text")).select(
         F.lit(None).cast("long").alias("doc_id"), "text", F.col("goes_to").alias("bucket"), F.lit(True).alias("copy"))
-    placed = rows.withColumn("copy", F.lit(False)).unionByName(copies).repartition(n, "bucket")
+    placed = rows.withColumn("copy", F.lit(False)).unionByName(copies).repartitionById(n + 1, "bucket")
     placed = winnow(placed, "text", "packed", k, window).withColumn("hashes", hashes(F.col("packed")))
     within = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
     following = F.struct(F.lead("text").over(within).alias("text"), F.lead("hashes").over(within).alias("hashes"))
