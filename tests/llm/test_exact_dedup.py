@@ -57,3 +57,22 @@ def test_drop_copies_keeps_columns(docs):
     df = docs([(1, "a"), (2, "A"), (3, "b"), (4, None), (5, "")])
     out = exact_dedup.drop_copies(df)
     assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [2, 3, 5]
+
+
+def test_a_run_has_bounded_members(docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "RUN_MEMBERS", 5)
+    rows = [(i, "same" if i % 3 else f"t{i}") for i in range(200)]
+    got = {x.doc_id: (x.keep_id, x.group_size, x.kept) for x in exact_dedup.exact_groups(docs(rows)).collect()}
+    same = [i for i, t in rows if t == "same"]
+    assert got == {i: (max(same), len(same), i == max(same)) if t == "same" else (i, 1, True) for i, t in rows}
+
+
+def test_runs_are_cut_at_their_members(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    monkeypatch.setattr(exact_dedup, "RUN_MEMBERS", 5)
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(23)), pa.array(["x"] * 23)], ["doc_id", "text"])
+    runs = [r for b in exact_dedup._fold_documents(1 << 20)(iter([batch])) for r in b.to_pylist()]
+    assert [r["copies"] for r in runs] == [5, 5, 5, 5, 3] and len({r["run_id"] for r in runs}) == 5

@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import id_and_text, rows_told_apart, shuffle_partitions, slices, stored, text_bytes
 
-TABLE_BYTES = 64 << 20  # contents a task's table holds before rows spill
+TABLE_BYTES = 64 << 20  # contents and members a task's table holds before rows spill
+RUN_MEMBERS = 1 << 16  # ids of one run row
+MEMBER_BYTES = 40  # an id in a list
 RUN_SCHEMA = ("run_id long, digest binary, content binary, best_id long, best_at int, "
               "copies long, members array<long>")
 NO_ID = -(1 << 63)  # stands for a null id while ids are compared
@@ -136,6 +138,11 @@ def _fold_documents(room: int):
                         digests.append(digest)
                         members.append([])
                     members[entry].append(doc_id)
+                    table.used += MEMBER_BYTES
+                    if len(members[entry]) >= RUN_MEMBERS or table.used > max(room, len(content) + (RUN_MEMBERS << 6)):
+                        yield from rows()
+                        table.clear()
+                        digests, members = [], []
         yield from rows()
 
     return run
