@@ -6,7 +6,7 @@ partitions are as small as the calendar, whatever the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import columns as C
@@ -99,3 +99,44 @@ def detect_anomalies(
         score.try_cast("decimal(12,4)").alias("severity_score"),
         C.severity_band(score, z_threshold).alias("severity"),
     )
+
+
+def first_changed_day(stored: DataFrame, daily: DataFrame) -> DataFrame:
+    """One row, ``metric_date``: the earliest day inside ``daily``'s range on
+    which stored flags and ``daily`` do not hold the same region-days with the
+    same money; null if there is none. A day that left ``daily`` counts.
+
+    One hash aggregate over both tables, a row per region and day each: a row
+    counts up on one side and down on the other."""
+    types = dict(daily.dtypes)
+
+    def money(name: str):
+        c = F.coalesce(F.col(name), F.lit(0)) if types[name].startswith("decimal") else C.numeric_or_zero(F.col(name))
+        return c.cast("decimal(14,2)").alias(name)
+
+    now = daily.select(F.col("metric_date").cast("date").alias("metric_date"), "region_key", "region_name",
+                       money("revenue"), money("returns"))
+    lo, hi = (F.lit(day).cast("date") for day in now.agg(F.min("metric_date"), F.max("metric_date")).first())
+    then = stored.select(*DAILY_COLUMNS).where(F.col("metric_date").between(lo, hi))
+    both = then.withColumn("_side", F.lit(1)).unionByName(now.withColumn("_side", F.lit(-1)))
+    return both.groupBy(*DAILY_COLUMNS).agg(F.sum("_side").alias("_side")).where("_side != 0").agg(
+        F.min("metric_date").alias("metric_date"))
+
+
+def detect_anomalies_since(
+    daily: DataFrame,
+    since,
+    window: int = 7,
+    min_periods: int = 3,
+    z_threshold: float = 3.0,
+) -> DataFrame:
+    """``detect_anomalies`` of the days from ``since`` on (a date or a column
+    without rows of its own; null: none), from these and the ``window`` rows
+    of each region before them, which is all that their baselines read."""
+    require_columns(daily, DAILY_COLUMNS, "daily metric")
+    since = since if isinstance(since, Column) else F.lit(since).cast("date")
+    day = F.col("metric_date").cast("date")
+    latest = Window.partitionBy("region_key").orderBy(F.col("metric_date").desc())
+    before = daily.where(day < since).withColumn("_back", F.row_number().over(latest))
+    read = before.where(F.col("_back") <= F.lit(window)).drop("_back").unionByName(daily.where(day >= since))
+    return detect_anomalies(read, window, min_periods, z_threshold).where(F.col("metric_date") >= since)

@@ -43,6 +43,7 @@ PUBLISH_ORDER = [*DIMENSION_KEYS, "ids_invoice", "ids_customer", "ids_product",
                  "fact_category", "fact_bitmaps", "load_quarantine"]
 ANOMALY_KEY = ["metric_date", "region_key"]
 ANOMALY_PARTITION = "metric_year"
+ANOMALY_NOTE = "_anomaly_run"  # a folder beside the tables
 SALE_KEY = ["transaction_id", "date_key"]
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
 
@@ -355,13 +356,27 @@ class Warehouse:
         schemas.conform(rows, "load_quarantine").drop("ingestion_date").write.parquet(path)
 
     # -- W3 ----------------------------------------------------------------
-    def persist_anomalies(self, flags: DataFrame, detected_at=None) -> None:
+    def anomaly_note(self) -> str | None:
+        """What the last finished detection noted; None if there is none or a
+        later one did not finish."""
+        names = Files(self.spark, self.root).names(f"{self.root}/{ANOMALY_NOTE}")
+        return names[0] if len(names) == 1 else None
+
+    def note_anomalies(self, note: str | None) -> None:
+        """Replaces the note, the name of an empty file; None removes it."""
+        files, folder = Files(self.spark, self.root), f"{self.root}/{ANOMALY_NOTE}"
+        files.delete(folder)
+        if note is not None:
+            files.create(f"{folder}/{note}")
+
+    def persist_anomalies(self, flags: DataFrame, detected_at=None, since: dt.date | None = None) -> None:
         """W3 with a stamp. The table is partitioned by year of metric_date;
         only the years inside the batch's range are rewritten (dynamic
         partition overwrite from a reliable checkpoint), so a failed write
         never leaves the table without its history and a rerun repairs it.
-        Years, not days or months: the table holds a few rows per day, and
-        each run replaces the whole history it recomputed."""
+        Years, not days or months: the table holds a few rows per day.
+        ``since`` is the first day of the range that ``flags`` replace where
+        that day may have no rows any more."""
         stamp = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")
         year = F.year("metric_date")
         # One row per day and region: worked out once, read several times.
@@ -370,6 +385,7 @@ class Warehouse:
             lo, hi = new.agg(F.min("metric_date"), F.max("metric_date")).first()
             if lo is None:
                 return
+            lo = lo if since is None else min(lo, since)
             existing = self.read("anomaly_flags")
             if existing is not None:
                 existing = existing.where(year.between(lo.year, hi.year))

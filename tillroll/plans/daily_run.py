@@ -196,14 +196,41 @@ def warehouse_daily_metrics(spark: SparkSession, root: str, run_date=None) -> Da
 
 
 def run_anomaly_detection(spark: SparkSession, root: str, run_date=None, daily: DataFrame | None = None,
-                          **params) -> DataFrame:
-    """The whole history is recomputed and its range replaced.
+                          whole: bool = False, window: int = 7, min_periods: int = 3,
+                          z_threshold: float = 3.0) -> DataFrame:
+    """Flags from the first changed day on are recomputed and their range
+    replaced (W3); the rows equal those of a recomputation of all days, but
+    for ``detected_at``, which tells when a row was last worked out. All days
+    are recomputed with ``whole``, without stored flags, with other parameters
+    than the last run's, or if that run did not finish. Days behind the last
+    run's end count as changed: it may have left their baselines as they were.
     ``daily`` are the metrics of ``run_date`` where the caller has them."""
     configure(spark)
+    params = {"window": window, "min_periods": min_periods, "z_threshold": float(z_threshold)}
+    anomaly.check_parameters(**params)
     wh = Warehouse(spark, f"{root.rstrip('/')}/warehouse")
-    daily = warehouse_daily_metrics(spark, root, run_date) if daily is None else daily
-    flags = anomaly.detect_anomalies(daily, **params)
-    wh.persist_anomalies(flags)
+    # One row per day and region, read several times.
+    daily = (warehouse_daily_metrics(spark, root, run_date) if daily is None else daily).persist()
+    try:
+        last = daily.agg(F.max(F.col("metric_date").cast("date"))).first()[0]
+        stored = wh.read("anomaly_flags")
+        if last is None:
+            return wh.read_or_empty("anomaly_flags")
+        setting = "-".join(str(v) for v in params.values())
+        noted = (wh.anomaly_note() or "").split("_through_")
+        if whole or stored is None or len(noted) != 2 or noted[0] != setting:
+            wh.note_anomalies(None)
+            wh.persist_anomalies(anomaly.detect_anomalies(daily, **params))
+        else:
+            behind = daily.where(F.col("metric_date").cast("date") > F.lit(_date(noted[1])))
+            first = anomaly.first_changed_day(stored, daily).union(
+                behind.select(F.min(F.col("metric_date").cast("date")))).agg(F.min("metric_date")).first()[0]
+            wh.note_anomalies(None)
+            if first is not None:
+                wh.persist_anomalies(anomaly.detect_anomalies_since(daily, first, **params), since=first)
+        wh.note_anomalies(f"{setting}_through_{last.isoformat()}")
+    finally:
+        daily.unpersist()
     return wh.read_or_empty("anomaly_flags")
 
 

@@ -337,6 +337,17 @@ def check_not_null(spark, sf):
     return checks.not_null_report(tables)
 
 
+def anomaly_restart(spark, sf):
+    """Flags after the rerun shrank a day: those stored, replaced from the
+    first changed day on."""
+    s = scenario(spark, sf)
+    before = anomaly.detect_anomalies(s.daily_of(s.fact_ab, s.dims_ab))
+    daily = s.daily_of(s.fact_rerun, s.dims_rerun)
+    first = anomaly.first_changed_day(before, daily).first()[0]
+    last = daily.agg(F.max("metric_date")).first()[0]
+    return warehouse.replace_anomaly_range(before, anomaly.detect_anomalies_since(daily, first), (first, last))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -344,7 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         clean_transactions, clean_drop_counts, country_region,
         dim_product, dim_customer, dim_region, dim_date, fact_sales,
         load_dim_insert_if_absent, load_fact_first_write_wins, load_fact_rerun,
-        anomaly_range_replace, forecast_run_replace,
+        anomaly_range_replace, anomaly_restart, forecast_run_replace,
         daily_metrics, daily_metrics_bounded,
         anomaly_baselines, anomaly_flags, anomaly_by_severity,
         forecast_levels, forecast_rows, forecast_repeated_horizon,
