@@ -111,4 +111,4 @@ SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha25
 
 def oracle_sql() -> dict[str, str]:
     return {"op8_hyperminhash": NEAR_GROUPS, "op10_exact_dedup": EXACT_DEDUP,
-            "op12_relative_parse": REPEATS, "op13_phrases": PHRASES}
+            "op12_relative_parse": f"SELECT * FROM ({REPEATS})", "op13_phrases": f"SELECT * FROM ({PHRASES})"}
