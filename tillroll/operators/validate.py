@@ -54,7 +54,9 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
     rule order gives the first failing rule (V1-V3).
     Built in narrow stages that refer to the previous stage's columns by
     name, so no parse expression is copied into the next one (a fused tree
-    outgrows the 64 KB limit of a generated method).
+    outgrows the 64 KB limit of a generated method). The rows leave through a
+    generator of one row each: filters on the reason stay above it, where they
+    would otherwise take a copy of all the parsing along to the source.
     """
     require_columns(raw, SOURCE_COLUMNS)
     extras = [c for c in raw.columns if c not in SOURCE_COLUMNS and c not in ("ingestion_date", MALFORMED)]
@@ -99,7 +101,7 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
         F.when((F.abs("_unit_price") >= C.MAX_MONEY) | (F.abs(F.col("_quantity") * F.col("_unit_price")) >= C.MAX_MONEY),
                F.lit("out_of_range_unit_price")),
     ]
-    return typed.select(
+    labelled = F.struct(
         "InvoiceNo",
         "StockCode",
         "Description",
@@ -113,6 +115,7 @@ def label_rows(raw: DataFrame, ingestion_date=None) -> DataFrame:
         *[F.col(c).alias(name) for c, name in RAW_KEPT.items()],
         F.coalesce(*rules).alias(REASON),
     )
+    return typed.select(F.inline(F.array(labelled)))
 
 
 def accepted_rows(labelled: DataFrame) -> DataFrame:

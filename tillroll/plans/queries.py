@@ -4,8 +4,8 @@
 Outputs are made engine-neutral at the end (see ``comparable``) so they
 compare value for value with the SQL twins in ``tillroll.plans.oracle``;
 inside, every step keeps the warehouse types. The queries of one session
-compose over one shared ``Scenario`` (``scenario(spark, sf)``), whose
-persisted frames stand in for the tables the daily run writes.
+compose over one shared ``Scenario`` (``scenario(spark, sf)``), which stores
+the tables the daily run would write.
 """
 
 from __future__ import annotations

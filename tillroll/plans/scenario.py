@@ -8,21 +8,27 @@
   then A is rerun with k % 3 = 0 only. Together the batches cover every
   row; the split defines overlapping loads, it does not sample.
 
-Everything here is lazy; each function returns DataFrames that Spark plans
-as one job per action.
+A table state that the daily run would store (cleaned rows, dimensions, a
+fact after a load, key ids, summaries, daily metrics) is written once, when it
+is first asked for, as Parquet in a folder of the scenario below the shared
+checkpoint folder. What follows plans over those files: no plan holds the
+loads before it, and nothing wide stays in executor memory. Everything else
+is lazy.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
-from functools import cached_property
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property, partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import anomaly, clean, forecast, metrics, partials, star, validate, warehouse
+from tillroll.session import checkpoint_dir, drop_folder, written
 from tillroll.sources.retail_adapter import raw_transactions
 
 BATCH_DATE = dt.date(2026, 7, 21)
@@ -31,24 +37,39 @@ SECOND_DATE = dt.date(2026, 7, 22)
 RUN_DATE = dt.date(2000, 1, 1)
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """A table state the daily run would have written; persisted so the
-    queries that read it share one computation (Spark's cache manager
-    matches identical plans across queries)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+class Tables(Mapping):
+    """Tables by name, each made when it is first read."""
 
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
 
-def invoice_digits() -> F.Column:
-    return F.regexp_replace(F.col("InvoiceNo"), "[^0-9]", "").try_cast("bigint")
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def invoice_digits(column: str = "InvoiceNo") -> F.Column:
+    return F.regexp_replace(F.col(column), "[^0-9]", "").try_cast("bigint")
 
 
 class Batch:
-    """One batch's steps, each built once."""
+    """One batch's steps, each built once. ``store`` writes a table."""
 
-    def __init__(self, labelled: DataFrame, ingestion_date: dt.date, cleaned: DataFrame | None = None):
+    def __init__(self, labelled: DataFrame, ingestion_date: dt.date, store: Callable[[DataFrame, str], DataFrame],
+                 cleaned: Callable[[], DataFrame] | None = None, fact: Callable[[], DataFrame] | None = None):
         self.labelled = labelled
         self.ingestion_date = ingestion_date
+        self._store = store
         self._cleaned = cleaned
+        self._fact = fact
 
     @cached_property
     def accepted(self) -> DataFrame:
@@ -60,14 +81,24 @@ class Batch:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        """Persisted: it feeds the five star tables (the curated tables of
-        the daily run)."""
+        """Stored: it feeds the five star tables (the curated tables of the
+        daily run)."""
         if self._cleaned is not None:
-            return self._cleaned
-        return clean.clean_transactions(self.accepted).persist(StorageLevel.MEMORY_AND_DISK)
+            return self._cleaned()
+        return self._store(clean.clean_transactions(self.accepted), "cleaned")
+
+    @cached_property
+    def star(self) -> Tables:
+        """The five curated tables, each stored when it is first read."""
+        def table(name: str) -> DataFrame:
+            if name == "fact_sales" and self._fact is not None:
+                return self._fact()
+            return self._store(self._frames[name], f"curated_{name}")
+
+        return Tables({name: partial(table, name) for name in star.STAR_TABLES})
 
     @cached_property
-    def star(self) -> dict[str, DataFrame]:
+    def _frames(self) -> dict[str, DataFrame]:
         return star.build_star_schema(self.cleaned, check_empty=False)
 
 
@@ -76,9 +107,9 @@ _SCENARIOS: dict = {}
 
 def scenario(spark: SparkSession, sf_dir: str) -> "Scenario":
     """The session's scenario over ``sf_dir``, built once: every registered
-    query then composes its result over the same frames (and their persisted
-    data) instead of rebuilding the upstream plans. A new Spark application
-    gets a new scenario."""
+    query then composes its result over the same stored tables instead of
+    rebuilding the upstream plans. A new Spark application gets a new
+    scenario."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # sessions without a SparkContext handle
@@ -90,8 +121,10 @@ def scenario(spark: SparkSession, sf_dir: str) -> "Scenario":
 
 
 def reset(spark: SparkSession) -> None:
-    """Drops every scenario and unpersists its frames."""
+    """Drops every scenario and the tables it stored."""
     spark.catalog.clearCache()
+    for dropped in _SCENARIOS.values():
+        dropped.drop(spark)
     _SCENARIOS.clear()
 
 
@@ -101,31 +134,41 @@ class Scenario:
         self.sf_dir = sf_dir
         self._daily: dict = {}
 
+    @cached_property
+    def folder(self) -> str:
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/scenario-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """A table state as the daily run would have written it."""
+        return written(df, f"{self.folder}/{name}-{uuid.uuid4().hex}")
+
+    def drop(self, spark: SparkSession) -> None:
+        """Deletes what the scenario stored."""
+        if "folder" in self.__dict__:
+            drop_folder(spark, self.folder)
+
     @cached_property
     def raw(self) -> DataFrame:
         return raw_transactions(self.spark, self.sf_dir)
 
     @cached_property
     def labelled(self) -> DataFrame:
-        """Every raw row, typed and labelled, persisted once as in the
-        pipeline: it feeds accepted and rejected rows and the reports, and a
-        cached relation stops later filters from being pushed into (and
-        re-running) the parsing. Identical plans share one cache entry."""
-        return validate.label_rows(self.raw, BATCH_DATE).persist(StorageLevel.MEMORY_AND_DISK)
+        """Every raw row, typed and labelled. Not kept: a query reads it once,
+        and keeping it would hold every row with its raw text."""
+        return validate.label_rows(self.raw, BATCH_DATE)
 
     # -- one batch ---------------------------------------------------------
     @cached_property
     def batch(self) -> Batch:
-        return Batch(self.labelled, BATCH_DATE)
+        return Batch(self.labelled, BATCH_DATE, self.store)
 
     @cached_property
     def fact(self) -> DataFrame:
-        """fact_sales after loading the batch into an empty table; persisted
-        as the stand-in for the stored warehouse table."""
-        return _stored(warehouse.load_fact(None, self.batch.star["fact_sales"], BATCH_DATE))
+        """fact_sales after loading the batch into an empty table."""
+        return self.store(warehouse.load_fact(None, self.batch.star["fact_sales"], BATCH_DATE), "fact_sales")
 
-    def dims(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.batch.star.items() if k != "fact_sales"}
+    def dims(self) -> Mapping[str, DataFrame]:
+        return Tables({t: partial(self.batch.star.__getitem__, t) for t in star.STAR_TABLES if t != "fact_sales"})
 
     def daily(self, run_date=None) -> DataFrame:
         return self.daily_of(self.fact, self.batch.star, run_date)
@@ -145,15 +188,19 @@ class Scenario:
         Cleaning is per row except the whole-row dedup, and copies of a row
         share their InvoiceNo, so they land in the same batch: cleaning the
         batch equals taking its rows of the cleaned whole with the batch's
-        own date. The batch reuses that one persisted frame.
+        own date. The batch reuses that one stored table, and likewise the
+        stored fact, which is a map of the cleaned rows.
         """
-        k = invoice_digits()
-        part = (F.coalesce(k, F.lit(0)) % 3).isin(list(remainders))
-        date_col = F.lit(date)
+        def rows(whole: DataFrame, column: str) -> DataFrame:
+            part = (F.coalesce(invoice_digits(column), F.lit(0)) % 3).isin(list(remainders))
+            return whole.where(part).withColumn("ingestion_date", F.lit(date))
+
         return Batch(
-            self.labelled.where(part).withColumn("ingestion_date", date_col),
+            rows(self.labelled, "InvoiceNo"),
             date,
-            cleaned=self.batch.cleaned.where(part).withColumn("ingestion_date", date_col),
+            self.store,
+            cleaned=lambda: rows(self.batch.cleaned, "InvoiceNo"),
+            fact=lambda: rows(self.batch.star["fact_sales"], "invoice_no"),
         )
 
     @cached_property
@@ -168,30 +215,33 @@ class Scenario:
     def batch_a_rerun(self) -> Batch:
         return self._split((0,), BATCH_DATE)
 
+    @cached_property
+    def fact_a(self) -> DataFrame:
+        return self.store(warehouse.load_fact(None, self.batch_a.star["fact_sales"], BATCH_DATE), "fact_a")
+
     @cached_property
     def fact_ab(self) -> DataFrame:
-        after_a = warehouse.load_fact(None, self.batch_a.star["fact_sales"], BATCH_DATE)
-        return _stored(warehouse.load_fact(after_a, self.batch_b.star["fact_sales"], SECOND_DATE))
+        return self.store(warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE), "fact_ab")
 
     @cached_property
     def fact_rerun(self) -> DataFrame:
-        return _stored(warehouse.load_fact(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE))
+        loaded = warehouse.load_fact(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE)
+        return self.store(loaded, "fact_rerun")
+
+    def _after(self, before: Mapping[str, DataFrame], batch: Batch) -> Tables:
+        """The dimensions after a load."""
+        def table(name: str, key: str) -> DataFrame:
+            return warehouse.insert_if_absent(before[name], batch.star[name], key)
+
+        return Tables({t: partial(table, t, key) for t, key in warehouse.DIMENSION_KEYS.items()})
 
     @cached_property
-    def dims_ab(self) -> dict[str, DataFrame]:
-        a, b = self.batch_a.star, self.batch_b.star
-        return {
-            t: warehouse.insert_if_absent(a[t], b[t], key)
-            for t, key in warehouse.DIMENSION_KEYS.items()
-        }
+    def dims_ab(self) -> Tables:
+        return self._after(self.batch_a.star, self.batch_b)
 
     @cached_property
-    def dims_rerun(self) -> dict[str, DataFrame]:
-        ab, a0 = self.dims_ab, self.batch_a_rerun.star
-        return {
-            t: warehouse.insert_if_absent(ab[t], a0[t], key)
-            for t, key in warehouse.DIMENSION_KEYS.items()
-        }
+    def dims_rerun(self) -> Tables:
+        return self._after(self.dims_ab, self.batch_a_rerun)
 
     # -- summaries the loads leave -------------------------------------------
     @cached_property
@@ -201,8 +251,8 @@ class Scenario:
         for kind in partials.DISTINCT_KEYS:
             ids = None
             for _, rows in self._load_rows():
-                ids = partials.add_ids(ids, partials.keys_of(rows, kind))
-            found[kind] = _stored(ids)
+                ids = self.store(partials.add_ids(ids, partials.keys_of(rows, kind)), f"ids_{kind}")
+            found[kind] = ids
         return found
 
     def _load_rows(self) -> list[tuple[dt.date, DataFrame]]:
@@ -211,29 +261,28 @@ class Scenario:
             (BATCH_DATE, self.fact_ab), (SECOND_DATE, self.fact_ab), (BATCH_DATE, self.fact_rerun))]
 
     @cached_property
-    def summaries(self) -> dict[str, DataFrame]:
+    def summaries(self) -> Tables:
         """The summary tables after the sequence: each load replaced its own
         date's rows."""
-        product = self.dims_rerun["dim_product"]
         made = {
             "fact_daily": partials.daily_rows,
-            "fact_category": lambda rows: partials.category_rows(rows, product),
-            "fact_bitmaps": lambda rows: partials.bitmap_rows(rows, product, self.key_ids),
+            "fact_category": lambda rows: partials.category_rows(rows, self.dims_rerun["dim_product"]),
+            "fact_bitmaps": lambda rows: partials.bitmap_rows(rows, self.dims_rerun["dim_product"], self.key_ids),
         }
-        tables = {}
-        for name, rows_of in made.items():
+
+        def table(name: str) -> DataFrame:
             state = None
             for d, rows in self._load_rows():
-                state = partials.replace_date(state, rows_of(rows), d)
-            tables[name] = _stored(state)
-        return tables
+                state = partials.replace_date(state, made[name](rows), d)
+            return self.store(state, name)
+
+        return Tables({name: partial(table, name) for name in made})
 
-    def daily_of(self, fact: DataFrame, dims: dict[str, DataFrame], run_date=None) -> DataFrame:
-        """Daily metrics of a fact state; persisted (one row per day and
-        region) because both models and the run-date lookups read them."""
+    def daily_of(self, fact: DataFrame, dims: Mapping[str, DataFrame], run_date=None) -> DataFrame:
+        """Daily metrics of a fact state; stored (one row per day and region)
+        because both models and the run-date lookups read them."""
         key = (id(fact), id(dims["dim_date"]), run_date)
         if key not in self._daily:
-            self._daily[key] = _stored(
-                metrics.daily_metrics(fact, dims["dim_date"], dims["dim_region"], run_date)
-            )
+            daily = metrics.daily_metrics(fact, dims["dim_date"], dims["dim_region"], run_date)
+            self._daily[key] = self.store(daily, "daily")
         return self._daily[key]

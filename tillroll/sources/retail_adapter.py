@@ -39,6 +39,14 @@ def _lookup(values: list[str], index):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def _padded(number, width: int):
+    """``format_string("%0<width>d")``, without a formatter call for each row:
+    only null and numbers below zero get one."""
+    text = number.cast("string")
+    zeros = F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+    return F.when(number >= 0, zeros).otherwise(F.format_string(f"%0{width}d", number))
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw invoice-line frame (all strings) derived from the test tables."""
     lineitem = partition_for_join(
@@ -82,7 +90,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(k_text)
     )
     stock_code = F.concat(
-        F.format_string("%06d", F.col("p_partkey")),
+        _padded(F.col("p_partkey"), 6),
         F.when(line == 7, F.lit(" ")).otherwise(F.lit("")),
     )
     description = F.when(F.col("l_partkey") % 97 != 0, F.concat(
@@ -103,9 +111,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     invoice_date = F.when(k % 107 == 0, F.lit("not a date")).otherwise(F.concat(
         F.date_format(F.col("o_orderdate"), "dd/MM/yyyy"),
         F.lit(" "),
-        F.format_string("%02d", line + 8),
+        _padded(line + 8, 2),
         F.lit(":"),
-        F.format_string("%02d", F.col("l_partkey") % 60),
+        _padded(F.col("l_partkey") % 60, 2),
     ))
     unit_price = (
         F.when(k % 89 == 0, F.lit("-1.0"))
