@@ -34,6 +34,34 @@ def test_padded_numbers_are_those_of_format_string(spark):
         assert [r.a for r in got] == [r.b for r in got]
 
 
+def test_a_load_deals_out_its_rows_once(spark):
+    """Rows of sales that repeat or are held, and all others, come from one
+    shuffle; rows without a key are kept as they are."""
+    from tillroll.operators import warehouse
+    from tillroll.operators.star import FACT_COLUMNS
+
+    def fact(keys, quantity=1):
+        rows = spark.createDataFrame(keys, "transaction_id string, date_key int")
+        for c in FACT_COLUMNS:
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.lit(quantity))
+        return rows.select(*FACT_COLUMNS).checkpoint()
+
+    batch = fact([("a", 1), ("a", 1), ("b", 1), ("c", 2), (None, 1), (None, 1), ("d", None), ("d", None)])
+    stored = fact([("c", 2), ("b", 2), (None, 1)], 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        new = warehouse.fact_partition_rows(stored, batch)
+        assert new.count() == 6  # runs, so that the final plan names reused exchanges
+        got = sorted(((r.transaction_id, r.date_key) for r in new.collect()), key=repr)
+        plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted([("a", 1), ("b", 1), (None, 1), (None, 1), ("d", None), ("d", None)], key=repr)
+    whole = [line for line in plan.splitlines() if "coalesce(transaction_id" in line and "Exchange hashpartitioning" in line]
+    assert any("ReusedExchange" in line and "currency_code" in line for line in whole), plan
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_plans_rest_on_stored_tables_and_reset_drops_them(spark):
     scenario.reset(spark)

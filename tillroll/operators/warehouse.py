@@ -85,6 +85,14 @@ def fold_repeats(repeats: DataFrame) -> DataFrame:
     )
 
 
+def _of_sales(rows: DataFrame, sales: DataFrame, how: str) -> DataFrame:
+    """``rows`` whose sale is (``left_semi``) or is not (``left_anti``) among
+    ``sales``, which hold no null. Null-safe equality adds no filter to
+    ``rows``, so both kinds of join over the same rows share one shuffle."""
+    same = [F.col(f"_rows.{k}").eqNullSafe(F.col(f"_sales.{k}")) for k in SALE_KEY]
+    return rows.alias("_rows").join(sales.alias("_sales"), reduce(Column.__and__, same), how)
+
+
 def fact_partition_rows(
     other_dates: DataFrame | None,
     batch: DataFrame,
@@ -107,7 +115,8 @@ def fact_partition_rows(
     rows. ``watched`` are the same rows as ``batch``, read for the bulk.
     """
     batch = batch.select(*FACT_COLUMNS)
-    counted = batch.groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in SALE_KEY])
+    counted = batch.where(known).groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
     if other_dates is None:
         odd = counted.where("_n > 1").withColumn("_held", F.lit(False))
     else:
@@ -116,9 +125,9 @@ def fact_partition_rows(
             stored = stored.where(F.col("date_key").between(*days))
         held = counted.join(stored, SALE_KEY, "left_semi").select(*SALE_KEY, F.lit(True).alias("_held"))
         odd = counted.join(held, SALE_KEY, "left").where((F.col("_n") > 1) | F.col("_held"))
-    bulk = (batch if watched is None else watched.select(*FACT_COLUMNS)).join(odd.select(*SALE_KEY), SALE_KEY, "left_anti")
+    bulk = _of_sales(batch if watched is None else watched.select(*FACT_COLUMNS), odd.select(*SALE_KEY), "left_anti")
     repeated = odd.where((F.col("_n") > 1) & ~F.coalesce(F.col("_held"), F.lit(False))).select(*SALE_KEY)
-    repeats = fold_repeats(batch.join(repeated, SALE_KEY, "left_semi"))
+    repeats = fold_repeats(_of_sales(batch, repeated, "left_semi"))
     return bulk.select(*FACT_COLUMNS).unionByName(repeats)
 
 
