@@ -74,3 +74,20 @@ def test_plans_rest_on_stored_tables_and_reset_drops_them(spark):
     assert os.path.isdir(local)
     scenario.reset(spark)
     assert not os.path.exists(local)
+
+
+def test_each_kind_of_bitmaps_is_stored_by_its_own_job(spark, tmp_path):
+    """The summaries of a load sequence rest on stored parts: the plan that
+    merges them holds no fact, no dictionary and no exchange."""
+    scenario.reset(spark)
+    s = scenario.Scenario(spark, SF)
+    kept = []
+    store = s.store_all
+    s.store_all = lambda parts, name: kept.append((name, len(parts))) or store(parts, name)
+    bitmaps = s.summaries["fact_bitmaps"]
+    assert kept == [("fact_bitmaps", 4)] * 2  # the last load of either date
+    plan = plan_of(bitmaps)
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Relation [") == 2, plan
+    assert {r.kind for r in bitmaps.select("kind").distinct().collect()} == {
+        "invoice_day", "invoice_category", "customer", "product"}
+    s.drop(spark)

@@ -108,7 +108,12 @@ def category_rows(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def bitmap_rows(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFrame]) -> DataFrame:
-    """``fact_bitmaps`` of fact rows: ``kind`` tells what is counted within
+    """``fact_bitmaps`` of fact rows, all kinds."""
+    return reduce(DataFrame.unionByName, bitmap_parts(fact, dim_product, ids))
+
+
+def bitmap_parts(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFrame]) -> list[DataFrame]:
+    """``fact_bitmaps`` of fact rows by kind: ``kind`` tells what is counted within
     which of the columns ``date_key, region_key, category`` (others null).
 
     Distinct keys of a group first: a hot key or group is one row per map
@@ -130,7 +135,7 @@ def bitmap_rows(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFram
             "ingestion_date", *types, F.bitmap_bucket_number("id").alias("bucket")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap"))
         parts.append(bits.select("ingestion_date", F.lit(kind).alias("kind"), *types, "bucket", "bitmap"))
-    return reduce(DataFrame.unionByName, parts)
+    return parts
 
 
 def replace_date(existing: DataFrame | None, new: DataFrame, ingestion_date) -> DataFrame:

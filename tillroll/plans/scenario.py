@@ -142,6 +142,11 @@ class Scenario:
         """A table state as the daily run would have written it."""
         return written(df, f"{self.folder}/{name}-{uuid.uuid4().hex}")
 
+    def store_all(self, parts: list[DataFrame], name: str) -> DataFrame:
+        """One table state written part by part."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        return [written(part, path) for part in parts][-1]
+
     def drop(self, spark: SparkSession) -> None:
         """Deletes what the scenario stored."""
         if "folder" in self.__dict__:
@@ -221,7 +226,8 @@ class Scenario:
 
     @cached_property
     def fact_ab(self) -> DataFrame:
-        return self.store(warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE), "fact_ab")
+        loaded = warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE)
+        return self.store(loaded, "fact_ab")
 
     @cached_property
     def fact_rerun(self) -> DataFrame:
@@ -246,12 +252,14 @@ class Scenario:
     # -- summaries the loads leave -------------------------------------------
     @cached_property
     def key_ids(self) -> dict[str, DataFrame]:
-        """The key dictionaries after both loads and the rerun."""
+        """The key dictionaries after both loads and the rerun: each load
+        stores the ids it added."""
         found = {}
         for kind in partials.DISTINCT_KEYS:
             ids = None
             for _, rows in self._load_rows():
-                ids = self.store(partials.add_ids(ids, partials.keys_of(rows, kind)), f"ids_{kind}")
+                added = self.store(partials.dense_ids(ids, partials.keys_of(rows, kind)), f"ids_{kind}")
+                ids = added if ids is None else ids.unionByName(added)
             found[kind] = ids
         return found
 
@@ -263,18 +271,20 @@ class Scenario:
     @cached_property
     def summaries(self) -> Tables:
         """The summary tables after the sequence: each load replaced its own
-        date's rows."""
+        date's rows, so only those of a date's last load are worked out. A
+        load's rows are stored by themselves, each kind of bitmaps in a job of
+        its own, so that no plan holds them all."""
         made = {
-            "fact_daily": partials.daily_rows,
-            "fact_category": lambda rows: partials.category_rows(rows, self.dims_rerun["dim_product"]),
-            "fact_bitmaps": lambda rows: partials.bitmap_rows(rows, self.dims_rerun["dim_product"], self.key_ids),
+            "fact_daily": lambda rows: [partials.daily_rows(rows)],
+            "fact_category": lambda rows: [partials.category_rows(rows, self.dims_rerun["dim_product"])],
+            "fact_bitmaps": lambda rows: partials.bitmap_parts(rows, self.dims_rerun["dim_product"], self.key_ids),
         }
 
         def table(name: str) -> DataFrame:
             state = None
-            for d, rows in self._load_rows():
-                state = partials.replace_date(state, made[name](rows), d)
-            return self.store(state, name)
+            for d, rows in dict(self._load_rows()).items():
+                state = partials.replace_date(state, self.store_all(made[name](rows), name), d)
+            return state
 
         return Tables({name: partial(table, name) for name in made})
 
