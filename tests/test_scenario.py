@@ -76,6 +76,41 @@ def test_plans_rest_on_stored_tables_and_reset_drops_them(spark):
     assert not os.path.exists(local)
 
 
+def test_a_written_list_of_odd_sales_is_broadcast(spark):
+    """A short list of repeated and held sales keeps all other rows of a load
+    out of any shuffle; the rows are those of a load without the list."""
+    from tillroll.operators import warehouse
+    from tillroll.operators.star import FACT_COLUMNS
+    from tillroll.session import checkpoint_dir, drop_folder, written
+
+    keys = [("a", 1), ("a", 1), ("b", 1), ("c", 2), (None, 1), (None, 1), ("d", None), ("d", None)]
+
+    def fact(keys, quantity, day):
+        rows = spark.createDataFrame(keys, "transaction_id string, date_key int")
+        for c in FACT_COLUMNS:
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.to_date(F.lit(day)) if c == "ingestion_date" else F.lit(quantity))
+        return rows.select(*FACT_COLUMNS)
+
+    folder = f"{checkpoint_dir(spark)}/odd-sales-test"
+    batch, stored = fact(keys, 1, "2026-07-22"), fact([("c", 2), ("b", 2), (None, 1)], 2, "2026-07-21")
+    plain = warehouse.load_fact(stored, batch, "2026-07-22")
+    listed = warehouse.load_fact(stored, batch, "2026-07-22", lambda df, name: written(df, f"{folder}/{name}"))
+    assert sorted(map(repr, listed.collect())) == sorted(map(repr, plain.collect())) and listed.count() == 9
+    plan = listed._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+    drop_folder(spark, folder)
+
+
+def test_known_regions_have_the_keys_of_all_others(spark):
+    from tillroll.functions import columns as C
+    from tillroll.operators.star import region_key
+
+    df = spark.createDataFrame([(r,) for r in [*C.REGIONS, "Mars", "", None]], "r string")
+    for row in df.select(region_key("r").alias("a"), C.stable_key(C.REGION_PREFIX, "r").alias("b")).collect():
+        assert row.a == row.b
+
+
 def test_each_kind_of_bitmaps_is_stored_by_its_own_job(spark, tmp_path):
     """The summaries of a load sequence rest on stored parts: the plan that
     merges them holds no fact, no dictionary and no exchange."""

@@ -19,6 +19,7 @@ that applies them:
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -93,11 +94,26 @@ def _of_sales(rows: DataFrame, sales: DataFrame, how: str) -> DataFrame:
     return rows.alias("_rows").join(sales.alias("_sales"), reduce(Column.__and__, same), how)
 
 
+def odd_sales(other_dates: DataFrame | None, batch: DataFrame, days: tuple[int, int] | None = None) -> DataFrame:
+    """The sales of a batch that repeat in it (``_n`` > 1) or that another
+    date holds (``_held``), by keys alone; see ``fact_partition_rows``."""
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in SALE_KEY])
+    counted = batch.where(known).groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    if other_dates is None:
+        return counted.where("_n > 1").withColumn("_held", F.lit(False))
+    stored = other_dates.select(*SALE_KEY)
+    if days is not None:
+        stored = stored.where(F.col("date_key").between(*days))
+    held = counted.join(stored, SALE_KEY, "left_semi").select(*SALE_KEY, F.lit(True).alias("_held"))
+    return counted.join(held, SALE_KEY, "left").where((F.col("_n") > 1) | F.col("_held"))
+
+
 def fact_partition_rows(
     other_dates: DataFrame | None,
     batch: DataFrame,
     days: tuple[int, int] | None = None,
     watched: DataFrame | None = None,
+    odd: DataFrame | None = None,
 ) -> DataFrame:
     """The rows a load writes into its own ``ingestion_date`` partition.
 
@@ -113,33 +129,29 @@ def fact_partition_rows(
     that another date holds, is normally a short list; all other rows pass
     it without being sorted or shuffled. Only repeats are folded over whole
     rows. ``watched`` are the same rows as ``batch``, read for the bulk.
+    ``odd`` is that list (``odd_sales``) where the caller has written it: its
+    size is then known before the rows are dealt out, and a short one is
+    broadcast.
     """
     batch = batch.select(*FACT_COLUMNS)
-    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in SALE_KEY])
-    counted = batch.where(known).groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
-    if other_dates is None:
-        odd = counted.where("_n > 1").withColumn("_held", F.lit(False))
-    else:
-        stored = other_dates.select(*SALE_KEY)
-        if days is not None:
-            stored = stored.where(F.col("date_key").between(*days))
-        held = counted.join(stored, SALE_KEY, "left_semi").select(*SALE_KEY, F.lit(True).alias("_held"))
-        odd = counted.join(held, SALE_KEY, "left").where((F.col("_n") > 1) | F.col("_held"))
+    if odd is None:
+        odd = odd_sales(other_dates, batch, days)
     bulk = _of_sales(batch if watched is None else watched.select(*FACT_COLUMNS), odd.select(*SALE_KEY), "left_anti")
     repeated = odd.where((F.col("_n") > 1) & ~F.coalesce(F.col("_held"), F.lit(False))).select(*SALE_KEY)
     repeats = fold_repeats(_of_sales(batch, repeated, "left_semi"))
     return bulk.select(*FACT_COLUMNS).unionByName(repeats)
 
 
-def load_fact(existing: DataFrame | None, batch: DataFrame, ingestion_date) -> DataFrame:
-    """W2 as a table state: other dates unchanged, own date replaced."""
+def load_fact(existing: DataFrame | None, batch: DataFrame, ingestion_date,
+              store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """W2 as a table state: other dates unchanged, own date replaced.
+    ``store`` writes the list of odd sales and reads it back."""
     d = _date(ingestion_date)
     batch = batch.where(F.col("ingestion_date") == F.lit(d))
-    if existing is None:
-        return fact_partition_rows(None, batch)
-    others = existing.where(F.col("ingestion_date") != F.lit(d))
-    new_rows = fact_partition_rows(others, batch)
-    return others.unionByName(new_rows)
+    others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
+    odd = None if store is None else store(odd_sales(others, batch), "odd_sales")
+    new_rows = fact_partition_rows(others, batch, odd=odd)
+    return new_rows if others is None else others.unionByName(new_rows)
 
 
 def replace_anomaly_range(existing: DataFrame | None, new: DataFrame, bounds: tuple | None = None) -> DataFrame:
@@ -307,8 +319,9 @@ class Warehouse:
         def write(watched: DataFrame, rows: DataFrame) -> None:
             # Sorting inside each task keeps date_key ranges tight in the
             # row-group statistics.
-            rows = fact_partition_rows(others, rows, (days[0], days[1]), watched).drop("ingestion_date")
-            rows.sortWithinPartitions("date_key", "region_key").write.parquet(path)
+            with staged(odd_sales(others, rows, (days[0], days[1]))) as odd:
+                rows = fact_partition_rows(others, rows, watched=watched, odd=odd).drop("ingestion_date")
+                rows.sortWithinPartitions("date_key", "region_key").write.parquet(path)
 
         refused = {}
         if days[0] is None:

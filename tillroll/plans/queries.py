@@ -299,7 +299,7 @@ def load_quarantine(spark, sf):
 
 def _loaded_tables(s: Scenario, with_batch_fact: bool = False) -> dict[str, DataFrame]:
     tables = {name: schemas.conform(df, name) for name, df in s.dims().items()}
-    fact = s.batch.star["fact_sales"] if with_batch_fact else s.fact
+    fact = s.batch.fact_rows if with_batch_fact else s.fact
     tables["fact_sales"] = schemas.conform(fact, "fact_sales")
     tables["anomaly_flags"] = s.flags
     tables["revenue_forecasts"] = s.forecasts

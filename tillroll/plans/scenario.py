@@ -97,6 +97,12 @@ class Batch:
 
         return Tables({name: partial(table, name) for name in star.STAR_TABLES})
 
+    @property
+    def fact_rows(self) -> DataFrame:
+        """The curated fact's rows for what reads them in passes of few
+        columns: a map of the stored cleaned rows, not stored once more."""
+        return self._fact() if self._fact is not None else self._frames["fact_sales"]
+
     @cached_property
     def _frames(self) -> dict[str, DataFrame]:
         return star.build_star_schema(self.cleaned, check_empty=False)
@@ -170,7 +176,7 @@ class Scenario:
     @cached_property
     def fact(self) -> DataFrame:
         """fact_sales after loading the batch into an empty table."""
-        return self.store(warehouse.load_fact(None, self.batch.star["fact_sales"], BATCH_DATE), "fact_sales")
+        return self.store(warehouse.load_fact(None, self.batch.fact_rows, BATCH_DATE, self.store), "fact_sales")
 
     def dims(self) -> Mapping[str, DataFrame]:
         return Tables({t: partial(self.batch.star.__getitem__, t) for t in star.STAR_TABLES if t != "fact_sales"})
@@ -222,16 +228,16 @@ class Scenario:
 
     @cached_property
     def fact_a(self) -> DataFrame:
-        return self.store(warehouse.load_fact(None, self.batch_a.star["fact_sales"], BATCH_DATE), "fact_a")
+        return self.store(warehouse.load_fact(None, self.batch_a.star["fact_sales"], BATCH_DATE, self.store), "fact_a")
 
     @cached_property
     def fact_ab(self) -> DataFrame:
-        loaded = warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE)
+        loaded = warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE, self.store)
         return self.store(loaded, "fact_ab")
 
     @cached_property
     def fact_rerun(self) -> DataFrame:
-        loaded = warehouse.load_fact(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE)
+        loaded = warehouse.load_fact(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE, self.store)
         return self.store(loaded, "fact_rerun")
 
     def _after(self, before: Mapping[str, DataFrame], batch: Batch) -> Tables:
