@@ -91,3 +91,13 @@ def test_file_format(spark, docs, vocabulary, tmp_path):
 
 def test_empty_table(docs, vocabulary):
     assert token_store.store_digest(docs([]), vocabulary("word_bpe_49k.json"), 2).count() == 0
+
+
+def test_a_word_is_remembered_once(vocabulary):
+    """A run that is one word and that word share an entry, so a worker holds
+    each of them once and never more than its bound in all."""
+    e = Encoder(vocabulary("word_bpe_49k.json"), held=1000)
+    plain = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    texts = ["zorble quux zorble", "quux, zorble!", "zorble"]
+    assert e(texts) == [np.asarray(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert e.runs is e.words and sorted(e.words) == ["!", ",", "quux", "quux,", "zorble", "zorble!"]

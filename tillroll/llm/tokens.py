@@ -42,7 +42,7 @@ SPLIT_RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # Latin-1 character, else the next character from 256 on.
 _HIDDEN = [b for b in range(256) if b < 33 or 127 <= b <= 160 or b == 173]
 BYTE_SIGNS = {b: chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)}
-HELD = 600_000  # words, and as many runs between spaces, that a worker remembers
+HELD = 600_000  # words, and as many runs between spaces (or both together), that a worker remembers
 
 
 class _Held(dict):
@@ -95,13 +95,19 @@ class Encoder:
         # For words that are split and lower-cased already; the merges alone.
         self.merge = self.tokenizer.model.tokenize
         self.words = _Held(self._word, held)
-        self.runs = _Held(self._run, held)
+        # Without the space before it, a run that is one word is that word:
+        # one table then holds both.
+        self.runs = _Held(self._run, held) if self.kind != "word" else self.words
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
 
     def _word(self, word: str) -> bytes:
+        if self.kind == "word":  # or a run of several
+            parts = self.split.findall(word)
+            if parts != [word]:
+                return b"".join(map(self.words.__getitem__, parts))
         tokens = self.merge(word.encode().decode("latin-1").translate(BYTE_SIGNS))
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
