@@ -85,3 +85,40 @@ def test_codes_stay_text_and_hash_ignores_customer_country_description(raw_frame
     # Q25: customer, country and description do not enter the key
     other = star_of(raw_frame, [("00123", "00042", "ELSE", "1", "01/12/2010 08:00", "2.675", "9", "Spain")])
     assert other["fact_sales"].first().transaction_id == fact["00123"].transaction_id
+
+
+def test_keep_first_reads_invoices_of_contested_keys_only(spark):
+    """A key with one attribute at its earliest moment needs no InvoiceNo; the
+    others are listed, and the list gives the same rows as the plain plan."""
+    import datetime as dt
+
+    early, late = dt.datetime(2010, 12, 1, 8), dt.datetime(2010, 12, 1, 9)
+    rows = [
+        ("one", "X", "2", early), ("one", "X", "1", early), ("one", "A", "0", late),
+        ("two", "B", "2", early), ("two", "C", "1", early), ("two", "A", "0", late),
+        ("half", None, "2", early), ("half", "D", "1", early), ("none", None, "1", early), ("none", "E", "1", late),
+        (None, "F", "1", early), (None, "G", "1", early), ("undated", "H", "1", None), ("undated", "A", "0", early),
+    ]
+    df = spark.createDataFrame(rows, "StockCode string, Description string, InvoiceNo string, InvoiceDate timestamp_ntz")
+    kept = {}
+
+    def store(frame, name):
+        kept[name] = frame
+        return frame
+
+    listed = star._keep_first(df, "StockCode", "Description", "stock_code", "description", store)
+    plain = star._keep_first(df, "StockCode", "Description", "stock_code", "description")
+    want = {"one": "X", "two": "C", "half": "D", "none": None, None: "F", "undated": "H"}
+    assert dict(map(tuple, listed.collect())) == dict(map(tuple, plain.collect())) == want
+    assert {r.stock_code for r in kept["contested_description"].collect()} == {"two", "half", None}
+    assert "InvoiceNo" not in kept["first_description"]._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+
+def test_strip_takes_every_kind_of_white_space(spark):
+    from pyspark.sql import functions as F
+
+    from tillroll.functions import columns as C
+
+    texts = ["", " ", "a", " a", "a ", "a b", " a", "a　", "\x1fa", "é", "é ", "a\tb\n", "~!", "\x7fa\x7f", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(C.strip_ws(F.col("t"))).collect()] == [None if t is None else t.strip() for t in texts]

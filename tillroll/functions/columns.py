@@ -118,8 +118,12 @@ def col_(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Strip white space at both ends (a character-set trim, no regex)."""
-    return F.btrim(col_(c), F.lit(WHITESPACE))
+    """Strip white space at both ends (a character-set trim, no regex).
+    Text between two printable ASCII characters is left as it is without a
+    look at the set."""
+    c = col_(c)
+    ends = [F.ascii(F.substring(c, 1, 1)).between(33, 126), F.ascii(F.substring(c, -1, 1)).between(33, 126)]
+    return F.when(ends[0] & ends[1], c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def null_tokens(c: Column | str) -> Column:

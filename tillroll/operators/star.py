@@ -4,6 +4,8 @@ join) and reruns produce the same keys."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,23 +26,42 @@ def order_micros(at: str) -> F.Column:
     return F.coalesce(F.unix_micros(F.col(at).cast("timestamp")), F.lit(-(2**63)))
 
 
-def _keep_first(df: DataFrame, key: str, attr: str, out_key: str, out_attr: str) -> DataFrame:
+# Writes a frame under a name and reads it back.
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+def _keep_first(df: DataFrame, key: str, attr: str, out_key: str, out_attr: str,
+                store: Store | None = None) -> DataFrame:
     """A11 with an explicit total order (Q9): earliest InvoiceDate, then
     InvoiceNo, then the attribute itself.
 
-    Two phases. The earliest moment per key is a minimum of longs, which a
-    hash aggregate holds in place: one row per key and task is shuffled, also
-    of a key with a third of all rows, and nothing is sorted. Text is compared
-    only among the rows of that moment.
+    The earliest moment per key and attribute is a minimum of longs, which a
+    hash aggregate holds in place: one row per pair and task is shuffled, also
+    of a key with a third of all rows, and no row is sorted. A key with one
+    attribute at its earliest moment is done. Only where several meet there,
+    the rows of that moment are read for their InvoiceNo; with ``store`` these
+    keys are written first, so a short list is broadcast and no row moves.
     """
     rows = df.select(F.col(key).alias(out_key), F.col(attr).alias(out_attr), "InvoiceNo",
                      order_micros("InvoiceDate").alias("_at"))
-    first = rows.groupBy(out_key).agg(F.min("_at").alias("_at"))
+    pairs = rows.groupBy(out_key, out_attr).agg(F.min("_at").alias("_at"))
+    # The smallest and the largest attribute of a key's earliest moment.
+    first = pairs.groupBy(out_key).agg(
+        F.min(F.struct("_at", out_attr)).alias("_low"),
+        F.max(F.struct(F.bitwise_not("_at").alias("_till"), out_attr)).alias("_high"),
+    ).select(out_key, F.col("_low._at").alias("_at"), F.col(f"_low.{out_attr}").alias(out_attr),
+             F.col(f"_high.{out_attr}").alias("_last"))
+    one = F.col(out_attr).eqNullSafe(F.col("_last"))
+    if store is not None:
+        first = store(first, f"first_{out_attr}")
+    contested = first.where(~one).select(out_key, "_at")
+    if store is not None:
+        contested = store(contested, f"contested_{out_attr}")
     tied = rows.alias("r").join(
-        first.alias("f"), F.col(f"r.{out_key}").eqNullSafe(F.col(f"f.{out_key}")) & (F.col("r._at") == F.col("f._at")),
-        "left_semi")
-    order = F.struct("InvoiceNo", out_attr)
-    return tied.groupBy(out_key).agg(F.min_by(out_attr, order).alias(out_attr))
+        contested.alias("f"),
+        F.col(f"r.{out_key}").eqNullSafe(F.col(f"f.{out_key}")) & (F.col("r._at") == F.col("f._at")), "left_semi")
+    settled = tied.groupBy(out_key).agg(F.min_by(out_attr, F.struct("InvoiceNo", out_attr)).alias(out_attr))
+    return first.where(one).select(out_key, out_attr).unionByName(settled)
 
 
 def customer_id_text() -> F.Column:
@@ -48,18 +69,18 @@ def customer_id_text() -> F.Column:
     return F.coalesce(F.col("CustomerID").cast("string"), F.lit(C.UNKNOWN_CUSTOMER))
 
 
-def dim_product(cleaned: DataFrame) -> DataFrame:
+def dim_product(cleaned: DataFrame, store: Store | None = None) -> DataFrame:
     """M4."""
-    products = _keep_first(cleaned, "StockCode", "Description", "stock_code", "description")
+    products = _keep_first(cleaned, "StockCode", "Description", "stock_code", "description", store)
     return products.select(
         C.stable_key(C.PRODUCT_PREFIX, "stock_code").alias("product_key"), "stock_code", "description"
     )
 
 
-def dim_customer(cleaned: DataFrame) -> DataFrame:
+def dim_customer(cleaned: DataFrame, store: Store | None = None) -> DataFrame:
     """M5, with the UNKNOWN member for rows without a customer."""
     customers = _keep_first(
-        cleaned.withColumn("customer_id", customer_id_text()), "customer_id", "Country", "customer_id", "country"
+        cleaned.withColumn("customer_id", customer_id_text()), "customer_id", "Country", "customer_id", "country", store
     )
     return customers.select(
         C.stable_key(C.CUSTOMER_PREFIX, "customer_id").alias("customer_key"), "customer_id", "country"
@@ -130,14 +151,17 @@ def fact_sales(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def build_star_schema(cleaned: DataFrame, check_empty: bool = True) -> dict[str, DataFrame]:
+def star_table(name: str, cleaned: DataFrame, store: Store | None = None) -> DataFrame:
+    """One table of the star. ``store`` writes what the keep-first dimensions
+    look up on the way."""
+    if name in ("dim_product", "dim_customer"):
+        return {"dim_product": dim_product, "dim_customer": dim_customer}[name](cleaned, store)
+    return {"dim_date": dim_date, "dim_region": dim_region, "fact_sales": fact_sales}[name](cleaned)
+
+
+def build_star_schema(cleaned: DataFrame, check_empty: bool = True, store: Store | None = None) -> dict[str, DataFrame]:
     """M9. ``check_empty`` runs V6 (one small job): an empty batch is an error."""
     if check_empty and cleaned.isEmpty():
         raise ValueError("the batch is empty: cleaning kept no row")
-    return {
-        "dim_product": dim_product(cleaned),
-        "dim_customer": dim_customer(cleaned),
-        "dim_date": dim_date(cleaned),
-        "dim_region": dim_region(cleaned),
-        "fact_sales": fact_sales(cleaned),
-    }
+    return {name: star_table(name, cleaned, store)
+            for name in ("dim_product", "dim_customer", "dim_date", "dim_region", "fact_sales")}

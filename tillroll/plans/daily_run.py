@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.operators import anomaly, clean, forecast, metrics, star, validate
 from tillroll.operators.warehouse import Warehouse
-from tillroll.session import configure, run_concurrently
+from tillroll.session import checkpoint_dir, configure, drop_folder, run_concurrently, written
 
 LANDING_PARTS = ("raw", "validated", "rejected", "manifest")
 
@@ -132,14 +133,14 @@ def read_landing(spark: SparkSession, root: str, part: str, ingestion_date) -> D
 def write_curated(star_tables: dict[str, DataFrame], root: str, ingestion_date) -> list[str]:
     """K5: one folder per table per date."""
     d = _date(ingestion_date)
-    jobs, written = [], []
+    jobs, paths = [], []
     for table, df in star_tables.items():
         path = _partition(root, "curated", table, d)
         out = df.drop("ingestion_date") if "ingestion_date" in df.columns else df
         jobs.append(lambda out=out, path=path: out.write.mode("overwrite").parquet(path))
-        written.append(path)
+        paths.append(path)
     run_concurrently(jobs)  # five independent writes of one persisted batch
-    return written
+    return paths
 
 
 def read_curated(spark: SparkSession, root: str, ingestion_date) -> dict[str, DataFrame]:
@@ -162,11 +163,13 @@ def transform(spark: SparkSession, root: str, ingestion_date, validated: DataFra
     d = _date(ingestion_date)
     source = validated if validated is not None else read_landing(spark, root, "validated", d)
     cleaned = clean.clean_transactions(source, d).persist(StorageLevel.MEMORY_AND_DISK)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/star-{uuid.uuid4().hex}"
     try:
-        star_tables = star.build_star_schema(cleaned)
+        star_tables = star.build_star_schema(cleaned, store=lambda df, name: written(df, f"{folder}/{name}"))
         write_curated(star_tables, root, d)
     finally:
         cleaned.unpersist()
+        drop_folder(spark, folder)
     return read_curated(spark, root, d)
 
 

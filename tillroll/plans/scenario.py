@@ -93,7 +93,7 @@ class Batch:
         def table(name: str) -> DataFrame:
             if name == "fact_sales" and self._fact is not None:
                 return self._fact()
-            return self._store(self._frames[name], f"curated_{name}")
+            return self._store(star.star_table(name, self.cleaned, self._store), f"curated_{name}")
 
         return Tables({name: partial(table, name) for name in star.STAR_TABLES})
 
@@ -101,11 +101,7 @@ class Batch:
     def fact_rows(self) -> DataFrame:
         """The curated fact's rows for what reads them in passes of few
         columns: a map of the stored cleaned rows, not stored once more."""
-        return self._fact() if self._fact is not None else self._frames["fact_sales"]
-
-    @cached_property
-    def _frames(self) -> dict[str, DataFrame]:
-        return star.build_star_schema(self.cleaned, check_empty=False)
+        return self._fact() if self._fact is not None else star.star_table("fact_sales", self.cleaned)
 
 
 _SCENARIOS: dict = {}
