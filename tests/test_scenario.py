@@ -126,3 +126,49 @@ def test_each_kind_of_bitmaps_is_stored_by_its_own_job(spark, tmp_path):
     assert {r.kind for r in bitmaps.select("kind").distinct().collect()} == {
         "invoice_day", "invoice_category", "customer", "product"}
     s.drop(spark)
+
+
+@pytest.mark.parametrize("words", [1, 2**19])
+def test_a_long_list_of_odd_sales_leaves_other_rows_in_place(spark, monkeypatch, words):
+    """With a written list too long to broadcast, rows still pass by the bits
+    of its sales; sales that share a bit by chance stay as they are."""
+    from tillroll.operators import warehouse
+    from tillroll.operators.star import FACT_COLUMNS
+    from tillroll.session import checkpoint_dir, drop_folder, written
+
+    monkeypatch.setattr(warehouse, "MARK_WORDS", words)
+
+    def fact(keys, quantity, day):
+        rows = spark.createDataFrame(keys, "transaction_id string, date_key int")
+        for c in FACT_COLUMNS:
+            if c not in rows.columns:
+                rows = rows.withColumn(c, F.to_date(F.lit(day)) if c == "ingestion_date" else F.lit(quantity))
+        return rows.select(*FACT_COLUMNS)
+
+    batch = fact([(f"t{i % 150}", 1) for i in range(200)] + [(None, 1), (None, 1), ("d", None)], 1, "2026-07-22")
+    stored = fact([(f"t{i}", 1) for i in range(40, 60)] + [("t70", 2), (None, 1)], 2, "2026-07-21")
+    folder = f"{checkpoint_dir(spark)}/odd-sales-long-test"
+    store = lambda df, name: written(df, f"{folder}/{name}-{len(os.listdir(folder)) if os.path.isdir(folder) else 0}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        alone = warehouse.load_fact(None, batch, "2026-07-22", store)
+        plan = alone._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, plan
+        assert alone.count() == 153
+        both = warehouse.load_fact(stored, batch, "2026-07-22", store)
+        assert sorted(map(repr, both.collect())) == sorted(map(repr, warehouse.load_fact(stored, batch, "2026-07-22").collect()))
+        assert both.count() == 22 + 130 + 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        drop_folder(spark, folder)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_a_load_stores_its_own_date_only(spark):
+    s = scenario.Scenario(spark, SF)
+    first = set(s.fact_a.inputFiles())
+    second = set(s.fact_ab.inputFiles())
+    assert first < second
+    assert {str(r[0]) for r in spark.read.parquet(*(second - first)).select("ingestion_date").distinct().collect()} == {
+        str(scenario.SECOND_DATE)}
+    s.drop(spark)

@@ -46,6 +46,8 @@ ANOMALY_KEY = ["metric_date", "region_key"]
 ANOMALY_PARTITION = "metric_year"
 ANOMALY_NOTE = "_anomaly_run"  # a folder beside the tables
 SALE_KEY = ["transaction_id", "date_key"]
+# Hashed sales are marked in this many words of 64 bits at most.
+MARK_WORDS = 2**19
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
 
 
@@ -101,11 +103,31 @@ def odd_sales(other_dates: DataFrame | None, batch: DataFrame, days: tuple[int,
     counted = batch.where(known).groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
     if other_dates is None:
         return counted.where("_n > 1").withColumn("_held", F.lit(False))
-    stored = other_dates.select(*SALE_KEY)
+    stored = other_dates.select(*SALE_KEY, F.lit(False).alias("_own"))
     if days is not None:
         stored = stored.where(F.col("date_key").between(*days))
-    held = counted.join(stored, SALE_KEY, "left_semi").select(*SALE_KEY, F.lit(True).alias("_held"))
-    return counted.join(held, SALE_KEY, "left").where((F.col("_n") > 1) | F.col("_held"))
+    # One grouping of both sides' keys: each side is read and shuffled once.
+    both = batch.where(known).select(*SALE_KEY, F.lit(True).alias("_own")).unionByName(stored.where(known))
+    met = both.groupBy(*SALE_KEY).agg(F.count_if("_own").alias("_n"), F.bool_or(~F.col("_own")).alias("_held"))
+    return met.where((F.col("_n") > 1) | ((F.col("_n") == 1) & F.col("_held")))
+
+
+def _mark(place: str) -> Column:
+    """A hashed sale's word (``div``) or its bit in it (``%``), whatever
+    integer type the day has."""
+    slot = f"pmod(xxhash64(cast(transaction_id as string), cast(date_key as bigint)), {MARK_WORDS * 64}L)"
+    return F.expr(f"{slot} div 64" if place == "word" else f"shiftleft(1L, cast({slot} % 64 as int))")
+
+
+def marked_by(rows: DataFrame, odd: DataFrame) -> DataFrame:
+    """``rows`` with ``_odd``: true for every sale of ``odd``, and for the few
+    others whose hash shares a bit with one. The bits are broadcast: at most
+    ``MARK_WORDS`` rows of two longs, however long the list is."""
+    words = odd.groupBy(_mark("word").alias("_word")).agg(F.bit_or(_mark("bit")).alias("_bits"))
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in SALE_KEY])
+    marked = rows.withColumns({"_word": _mark("word"), "_bit": _mark("bit")}).join(F.broadcast(words), "_word", "left")
+    bit = F.col("_bits").bitwiseAND(F.col("_bit")) != 0
+    return marked.select(*rows.columns, (known & F.coalesce(bit, F.lit(False))).alias("_odd"))
 
 
 def fact_partition_rows(
@@ -129,28 +151,39 @@ def fact_partition_rows(
     that another date holds, is normally a short list; all other rows pass
     it without being sorted or shuffled. Only repeats are folded over whole
     rows. ``watched`` are the same rows as ``batch``, read for the bulk.
-    ``odd`` is that list (``odd_sales``) where the caller has written it: its
-    size is then known before the rows are dealt out, and a short one is
-    broadcast.
+    ``odd`` is that list (``odd_sales``) where the caller has written it: rows
+    then pass by the bits of its hashed sales (``marked_by``), also a list too
+    long to broadcast, and only rows that share a bit with it are shuffled.
+    A sale that shares a bit by chance folds to its own row.
     """
     batch = batch.select(*FACT_COLUMNS)
-    if odd is None:
-        odd = odd_sales(other_dates, batch, days)
-    bulk = _of_sales(batch if watched is None else watched.select(*FACT_COLUMNS), odd.select(*SALE_KEY), "left_anti")
+    watched = batch if watched is None else watched.select(*FACT_COLUMNS)
+    if odd is not None:
+        bulk = marked_by(watched, odd).where(~F.col("_odd")).select(*FACT_COLUMNS)
+        suspects = marked_by(batch, odd).where("_odd").select(*FACT_COLUMNS)
+        if other_dates is not None:
+            suspects = _of_sales(suspects, odd.where("_held").select(*SALE_KEY), "left_anti")
+        return bulk.unionByName(fold_repeats(suspects))
+    odd = odd_sales(other_dates, batch, days)
+    bulk = _of_sales(watched, odd.select(*SALE_KEY), "left_anti")
     repeated = odd.where((F.col("_n") > 1) & ~F.coalesce(F.col("_held"), F.lit(False))).select(*SALE_KEY)
     repeats = fold_repeats(_of_sales(batch, repeated, "left_semi"))
     return bulk.select(*FACT_COLUMNS).unionByName(repeats)
 
 
 def load_fact(existing: DataFrame | None, batch: DataFrame, ingestion_date,
-              store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+              store: Callable[[DataFrame, str], DataFrame] | None = None,
+              keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """W2 as a table state: other dates unchanged, own date replaced.
-    ``store`` writes the list of odd sales and reads it back."""
+    ``store`` writes the list of odd sales and reads it back, ``keep`` the
+    date's rows: other dates' files stay as they are."""
     d = _date(ingestion_date)
     batch = batch.where(F.col("ingestion_date") == F.lit(d))
     others = None if existing is None else existing.where(F.col("ingestion_date") != F.lit(d))
     odd = None if store is None else store(odd_sales(others, batch), "odd_sales")
     new_rows = fact_partition_rows(others, batch, odd=odd)
+    if keep is not None:
+        new_rows = keep(new_rows)
     return new_rows if others is None else others.unionByName(new_rows)
 
 

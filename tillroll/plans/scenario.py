@@ -172,10 +172,11 @@ class Scenario:
     @cached_property
     def fact(self) -> DataFrame:
         """fact_sales after loading the batch into an empty table."""
-        # From the stored rows: a map of the cleaned ones would not share the
-        # shuffle of a load whose list of odd sales is too long to broadcast.
-        loaded = warehouse.load_fact(None, self.batch.star["fact_sales"], BATCH_DATE, self.store)
-        return self.store(loaded, "fact_sales")
+        return self._load(None, self.batch.fact_rows, BATCH_DATE, "fact_sales")
+
+    def _load(self, existing: DataFrame | None, rows: DataFrame, date: dt.date, name: str) -> DataFrame:
+        """The fact after a load, which writes its own date's rows only."""
+        return warehouse.load_fact(existing, rows, date, self.store, lambda new: self.store(new, name))
 
     def dims(self) -> Mapping[str, DataFrame]:
         return Tables({t: partial(self.batch.star.__getitem__, t) for t in star.STAR_TABLES if t != "fact_sales"})
@@ -227,17 +228,15 @@ class Scenario:
 
     @cached_property
     def fact_a(self) -> DataFrame:
-        return self.store(warehouse.load_fact(None, self.batch_a.star["fact_sales"], BATCH_DATE, self.store), "fact_a")
+        return self._load(None, self.batch_a.star["fact_sales"], BATCH_DATE, "fact_a")
 
     @cached_property
     def fact_ab(self) -> DataFrame:
-        loaded = warehouse.load_fact(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE, self.store)
-        return self.store(loaded, "fact_ab")
+        return self._load(self.fact_a, self.batch_b.star["fact_sales"], SECOND_DATE, "fact_ab")
 
     @cached_property
     def fact_rerun(self) -> DataFrame:
-        loaded = warehouse.load_fact(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE, self.store)
-        return self.store(loaded, "fact_rerun")
+        return self._load(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE, "fact_rerun")
 
     def _after(self, before: Mapping[str, DataFrame], batch: Batch) -> Tables:
         """The dimensions after a load."""
