@@ -66,6 +66,7 @@ PRODUCT_PREFIX = "prod"
 CUSTOMER_PREFIX = "cust"
 REGION_PREFIX = "region"
 TRANSACTION_PREFIX = "txn"
+KEY_PREFIXES = {"transaction_id": TRANSACTION_PREFIX, "product_key": PRODUCT_PREFIX, "customer_key": CUSTOMER_PREFIX}
 UNKNOWN_CUSTOMER = "UNKNOWN"
 UNKNOWN_PRODUCT = "Unknown product"
 UNKNOWN_COUNTRY = "Unknown"
@@ -216,6 +217,23 @@ def stable_key(prefix: str, c: Column | str) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha1(col_(c).cast("string")), 1, 16))
 
 
+def packed_key(c: Column | str, prefix: str) -> tuple[Column, Column]:
+    """A key as ``(code, text)``: the eight bytes behind a ``stable_key`` and
+    empty text, or no bytes and the text itself (null for null). Keys are equal
+    if both parts are; a shuffle moves 8 bytes instead of some 20 characters."""
+    c = col_(c)
+    code = F.unhex(F.substring(c, len(prefix) + 2, 16))
+    same = c == F.concat(F.lit(f"{prefix}_"), F.lower(F.hex(code)))
+    exact = F.coalesce(same & (F.octet_length(code) == 8), F.lit(False))
+    return F.when(exact, code).otherwise(F.lit(b"")), F.when(exact, F.lit("")).otherwise(c)
+
+
+def unpacked_key(code: Column | str, text: Column | str, prefix: str) -> Column:
+    """The key of ``packed_key``'s parts."""
+    code, text = col_(code), col_(text)
+    return F.when(F.octet_length(code) == 0, text).otherwise(F.concat(F.lit(f"{prefix}_"), F.lower(F.hex(code))))
+
+
 def date_key(c: Column | str) -> Column:
     """X11: yyyymmdd as INT."""
     c = col_(c)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas
+from tillroll.functions import columns as C
 
 # Primary and unique keys of the warehouse.
 UNIQUE_KEYS = [
@@ -40,8 +41,19 @@ FOREIGN_KEYS = [
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     """Key values held by more than one row, with their row count.
-    Map-side partial counting keeps a hot key to one row per task."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
+    Map-side partial counting keeps a hot key to one row per task; hashed keys
+    are counted as their bytes."""
+    types, parts, whole = dict(df.dtypes), [], []
+    for c in key:
+        if c in C.KEY_PREFIXES and types[c] == "string":
+            code, text = C.packed_key(c, C.KEY_PREFIXES[c])
+            parts += [code.alias(f"{c}_code"), text.alias(f"{c}_text")]
+            whole.append(C.unpacked_key(f"{c}_code", f"{c}_text", C.KEY_PREFIXES[c]).alias(c))
+        else:
+            parts.append(F.col(c))
+            whole.append(F.col(c))
+    counted = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
+    return counted.select(*whole, "row_count")
 
 
 def unique_report(tables: dict[str, DataFrame], keys: list | None = None) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tillroll import schemas
+from tillroll.functions import columns as C
 from tillroll.operators import checks, partials
 from tillroll.operators.publish import Files, Load, publication, recover
 from tillroll.operators.star import FACT_COLUMNS
@@ -46,6 +47,7 @@ ANOMALY_KEY = ["metric_date", "region_key"]
 ANOMALY_PARTITION = "metric_year"
 ANOMALY_NOTE = "_anomaly_run"  # a folder beside the tables
 SALE_KEY = ["transaction_id", "date_key"]
+PACKED_SALE = ["transaction_id_code", "transaction_id_text", "date_key"]  # the same, as shuffles move it
 # Hashed sales are marked in this many words of 64 bits at most.
 MARK_WORDS = 2**19
 FORECAST_KEY = ["forecast_run_date", "forecast_date", "region_key", "horizon_days"]
@@ -96,20 +98,56 @@ def _of_sales(rows: DataFrame, sales: DataFrame, how: str) -> DataFrame:
     return rows.alias("_rows").join(sales.alias("_sales"), reduce(Column.__and__, same), how)
 
 
+def packed_keys(rows: DataFrame) -> DataFrame:
+    """``rows`` with every hashed key as ``<key>_code`` and ``<key>_text`` in
+    place of its text (see ``columns.packed_key``)."""
+    columns = []
+    for c in rows.columns:
+        if c in C.KEY_PREFIXES:
+            code, text = C.packed_key(F.col(c).cast("string"), C.KEY_PREFIXES[c])
+            columns += [code.alias(f"{c}_code"), text.alias(f"{c}_text")]
+        else:
+            columns.append(F.col(c))
+    return rows.select(*columns)
+
+
+def unpacked(name: str) -> Column:
+    """A column of rows behind ``packed_keys``."""
+    if name not in C.KEY_PREFIXES:
+        return F.col(name)
+    return C.unpacked_key(f"{name}_code", f"{name}_text", C.KEY_PREFIXES[name]).alias(name)
+
+
+def fold_suspects(suspects: DataFrame, held: DataFrame | None) -> DataFrame:
+    """``fold_repeats`` of the rows whose sale is not among ``held``. Rows and
+    list meet in one shuffle, with the hashed keys packed; sales are known."""
+    dealt = packed_keys(suspects).repartition(*PACKED_SALE)
+    if held is not None:
+        # Not an anti-join: one would be moved below the packing.
+        listed = packed_keys(held.select(*SALE_KEY)).withColumn("_listed", F.lit(True))
+        dealt = dealt.join(listed, PACKED_SALE, "left").where(F.col("_listed").isNull())
+    rest = [c for c in FACT_COLUMNS if c not in SALE_KEY]
+    folded = dealt.groupBy(*PACKED_SALE).agg(F.min(F.struct(*[unpacked(c) for c in rest])).alias("_row"))
+    return folded.select(*[unpacked(c) if c in SALE_KEY else F.col(f"_row.{c}").alias(c) for c in FACT_COLUMNS])
+
+
 def odd_sales(other_dates: DataFrame | None, batch: DataFrame, days: tuple[int, int] | None = None) -> DataFrame:
     """The sales of a batch that repeat in it (``_n`` > 1) or that another
     date holds (``_held``), by keys alone; see ``fact_partition_rows``."""
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in SALE_KEY])
-    counted = batch.where(known).groupBy(*SALE_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    sales = packed_keys(batch.where(known).select(*SALE_KEY))
     if other_dates is None:
-        return counted.where("_n > 1").withColumn("_held", F.lit(False))
-    stored = other_dates.select(*SALE_KEY, F.lit(False).alias("_own"))
+        met = sales.groupBy(*PACKED_SALE).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        return met.select(*map(unpacked, SALE_KEY), "_n", F.lit(False).alias("_held"))
+    stored = other_dates.where(known).select(*SALE_KEY)
     if days is not None:
         stored = stored.where(F.col("date_key").between(*days))
     # One grouping of both sides' keys: each side is read and shuffled once.
-    both = batch.where(known).select(*SALE_KEY, F.lit(True).alias("_own")).unionByName(stored.where(known))
-    met = both.groupBy(*SALE_KEY).agg(F.count_if("_own").alias("_n"), F.bool_or(~F.col("_own")).alias("_held"))
-    return met.where((F.col("_n") > 1) | ((F.col("_n") == 1) & F.col("_held")))
+    both = sales.withColumn("_own", F.lit(1)).unionByName(packed_keys(stored).withColumn("_own", F.lit(0)))
+    met = both.groupBy(*PACKED_SALE).agg(F.count(F.lit(1)).alias("_all"), F.sum("_own").alias("_n"))
+    held = F.col("_all") > F.col("_n")
+    met = met.where((F.col("_n") > 1) | ((F.col("_n") == 1) & held))
+    return met.select(*map(unpacked, SALE_KEY), "_n", held.alias("_held"))
 
 
 def _mark(place: str) -> Column:
@@ -161,9 +199,7 @@ def fact_partition_rows(
     if odd is not None:
         bulk = marked_by(watched, odd).where(~F.col("_odd")).select(*FACT_COLUMNS)
         suspects = marked_by(batch, odd).where("_odd").select(*FACT_COLUMNS)
-        if other_dates is not None:
-            suspects = _of_sales(suspects, odd.where("_held").select(*SALE_KEY), "left_anti")
-        return bulk.unionByName(fold_repeats(suspects))
+        return bulk.unionByName(fold_suspects(suspects, None if other_dates is None else odd.where("_held")))
     odd = odd_sales(other_dates, batch, days)
     bulk = _of_sales(watched, odd.select(*SALE_KEY), "left_anti")
     repeated = odd.where((F.col("_n") > 1) & ~F.coalesce(F.col("_held"), F.lit(False))).select(*SALE_KEY)

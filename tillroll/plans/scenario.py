@@ -239,9 +239,10 @@ class Scenario:
         return self._load(self.fact_ab, self.batch_a_rerun.star["fact_sales"], BATCH_DATE, "fact_rerun")
 
     def _after(self, before: Mapping[str, DataFrame], batch: Batch) -> Tables:
-        """The dimensions after a load."""
+        """The dimensions after a load, which stores the rows it adds."""
         def table(name: str, key: str) -> DataFrame:
-            return warehouse.insert_if_absent(before[name], batch.star[name], key)
+            added = warehouse.dimension_rows_to_add(before[name], batch.star[name], key)
+            return before[name].unionByName(self.store(added, f"added_{name}"))
 
         return Tables({t: partial(table, t, key) for t, key in warehouse.DIMENSION_KEYS.items()})
 
