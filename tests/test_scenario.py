@@ -252,3 +252,20 @@ def test_dimensions_after_a_load_are_stored(spark):
     plan = plan_of(s.dims_rerun["dim_product"])
     assert "Join" not in plan and plan.count("Relation [") == 3, plan
     s.drop(spark)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_a_batch_reads_its_own_files_only(spark):
+    """Rows of a remainder are stored apart: no batch parses the invoice
+    numbers of all rows again in each of its passes."""
+    s = scenario.Scenario(spark, SF)
+    for whole, part in ((s.batch.cleaned, s.batch_a_rerun.cleaned),
+                        (s.batch.star["fact_sales"], s.batch_a_rerun.star["fact_sales"])):
+        name = "InvoiceNo" if "InvoiceNo" in whole.columns else "invoice_no"
+        want = whole.where(F.coalesce(scenario.invoice_digits(name), F.lit(0)) % 3 == 0).drop("ingestion_date")
+        assert part.columns == whole.columns and 0 < part.count() < whole.count()
+        assert part.drop("ingestion_date").exceptAll(want).isEmpty() and want.exceptAll(part.drop("ingestion_date")).isEmpty()
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(invoice_remainder" in plan or "PartitionFilters: [(invoice_remainder" in plan, plan
+        assert "regexp_replace" not in plan
+    s.drop(spark)

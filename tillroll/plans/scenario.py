@@ -28,11 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import anomaly, clean, forecast, metrics, partials, star, validate, warehouse
-from tillroll.session import checkpoint_dir, drop_folder, written
+from tillroll.session import checkpoint_dir, drop_folder, run_concurrently, written
 from tillroll.sources.retail_adapter import raw_transactions
 
 BATCH_DATE = dt.date(2026, 7, 21)
 SECOND_DATE = dt.date(2026, 7, 22)
+# The remainder that deals a row to the batches of the load sequence: rows of
+# one are stored in a folder of their own, so a batch reads only its files.
+SPLIT, SPLITS = "invoice_remainder", 3
 # Upper bound given to the bounded metric / backfill runs.
 RUN_DATE = dt.date(2000, 1, 1)
 
@@ -60,16 +63,22 @@ def invoice_digits(column: str = "InvoiceNo") -> F.Column:
     return F.regexp_replace(F.col(column), "[^0-9]", "").try_cast("bigint")
 
 
+def remainder(column: str) -> F.Column:
+    return (F.coalesce(invoice_digits(column), F.lit(0)) % SPLITS).cast("int")
+
+
 class Batch:
-    """One batch's steps, each built once. ``store`` writes a table."""
+    """One batch's steps, each built once. ``store`` writes a table;
+    ``cleaned`` and ``fact`` read those the scenario stores."""
 
     def __init__(self, labelled: DataFrame, ingestion_date: dt.date, store: Callable[[DataFrame, str], DataFrame],
-                 cleaned: Callable[[], DataFrame] | None = None, fact: Callable[[], DataFrame] | None = None):
+                 cleaned: Callable[[], DataFrame], fact: Callable[[], DataFrame], whole: bool = False):
         self.labelled = labelled
         self.ingestion_date = ingestion_date
         self._store = store
         self._cleaned = cleaned
         self._fact = fact
+        self._whole = whole
 
     @cached_property
     def accepted(self) -> DataFrame:
@@ -83,15 +92,13 @@ class Batch:
     def cleaned(self) -> DataFrame:
         """Stored: it feeds the five star tables (the curated tables of the
         daily run)."""
-        if self._cleaned is not None:
-            return self._cleaned()
-        return self._store(clean.clean_transactions(self.accepted), "cleaned")
+        return self._cleaned()
 
     @cached_property
     def star(self) -> Tables:
         """The five curated tables, each stored when it is first read."""
         def table(name: str) -> DataFrame:
-            if name == "fact_sales" and self._fact is not None:
+            if name == "fact_sales":
                 return self._fact()
             return self._store(star.star_table(name, self.cleaned, self._store), f"curated_{name}")
 
@@ -101,7 +108,7 @@ class Batch:
     def fact_rows(self) -> DataFrame:
         """The curated fact's rows for what reads them in passes of few
         columns: a map of the stored cleaned rows, not stored once more."""
-        return self._fact() if self._fact is not None else star.star_table("fact_sales", self.cleaned)
+        return star.star_table("fact_sales", self.cleaned) if self._whole else self._fact()
 
 
 _SCENARIOS: dict = {}
@@ -149,6 +156,22 @@ class Scenario:
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
         return [written(part, path) for part in parts][-1]
 
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        """The batch's cleaned rows and their remainder, stored."""
+        rows = clean.clean_transactions(self.batch.accepted)
+        return written(rows.withColumn(SPLIT, remainder("InvoiceNo")), f"{self.folder}/cleaned-{uuid.uuid4().hex}", SPLIT)
+
+    @cached_property
+    def curated_fact(self) -> DataFrame:
+        """The batch's curated fact, stored folder by folder as its cleaned
+        rows are, so that no row is sorted for it."""
+        path = f"{self.folder}/curated_fact_sales-{uuid.uuid4().hex}"
+        parts = [star.star_table("fact_sales", self.cleaned.where(F.col(SPLIT) == k)) for k in range(SPLITS)]
+        run_concurrently([partial(written, part, f"{path}/{SPLIT}={k}") for k, part in enumerate(parts)])
+        schema = parts[0].withColumn(SPLIT, F.lit(0)).schema
+        return self.spark.read.schema(schema).parquet(path)
+
     def drop(self, spark: SparkSession) -> None:
         """Deletes what the scenario stored."""
         if "folder" in self.__dict__:
@@ -167,7 +190,8 @@ class Scenario:
     # -- one batch ---------------------------------------------------------
     @cached_property
     def batch(self) -> Batch:
-        return Batch(self.labelled, BATCH_DATE, self.store)
+        return Batch(self.labelled, BATCH_DATE, self.store, cleaned=lambda: self.cleaned.drop(SPLIT),
+                     fact=lambda: self.curated_fact.drop(SPLIT), whole=True)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -202,16 +226,15 @@ class Scenario:
         own date. The batch reuses that one stored table, and likewise the
         stored fact, which is a map of the cleaned rows.
         """
-        def rows(whole: DataFrame, column: str) -> DataFrame:
-            part = (F.coalesce(invoice_digits(column), F.lit(0)) % 3).isin(list(remainders))
-            return whole.where(part).withColumn("ingestion_date", F.lit(date))
+        def rows(whole: DataFrame, part: F.Column) -> DataFrame:
+            return whole.where(part.isin(list(remainders))).withColumn("ingestion_date", F.lit(date))
 
         return Batch(
-            rows(self.labelled, "InvoiceNo"),
+            rows(self.labelled, remainder("InvoiceNo")),
             date,
             self.store,
-            cleaned=lambda: rows(self.batch.cleaned, "InvoiceNo"),
-            fact=lambda: rows(self.batch.star["fact_sales"], "invoice_no"),
+            cleaned=lambda: rows(self.cleaned, F.col(SPLIT)).drop(SPLIT),
+            fact=lambda: rows(self.curated_fact, F.col(SPLIT)).drop(SPLIT),
         )
 
     @cached_property
