@@ -269,3 +269,24 @@ def test_a_batch_reads_its_own_files_only(spark):
         assert "PartitionFilters: [isnotnull(invoice_remainder" in plan or "PartitionFilters: [(invoice_remainder" in plan, plan
         assert "regexp_replace" not in plan
     s.drop(spark)
+
+
+def test_invoices_meet_their_ids_once_for_both_kinds(spark):
+    """Bitmaps of stored invoice ids are those of the fact, also of lines
+    without a product, a day or an invoice."""
+    from tillroll.operators import partials
+
+    fact = spark.createDataFrame(
+        [("i1", "p1", "c", 1, "r"), ("i1", "p2", "c", 1, "r"), ("i1", "p1", "c", 2, "r"), ("i2", "p9", "c", 1, "q"),
+         ("i3", None, "c", 1, "q"), (None, "p1", "c", 1, "q"), ("i4", "p2", "c", None, None), ("i4", "p2", "c", None, None)],
+        "invoice_no string, product_key string, customer_key string, date_key int, region_key string").withColumn(
+        "ingestion_date", F.to_date(F.lit("2026-07-21")))
+    products = spark.createDataFrame([("p1", "RED LAMP"), ("p2", None), ("p2", "BAG")], "product_key string, description string")
+    ids = {k: spark.createDataFrame([(m, i) for i, m in enumerate(members, 1)], "member string, id bigint")
+           for k, members in (("invoice", ["i1", "i2", "i3", "i4"]), ("customer", ["c"]), ("product", ["p1", "p2", "p9"]))}
+    kept = []
+    parts = partials.bitmap_parts(fact, products, ids, lambda df, name: kept.append(name) or df.localCheckpoint())
+    assert kept == ["invoice_ids"]
+    for got, want in zip(parts, partials.bitmap_parts(fact, products, ids)):
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert "Join" not in plan_of(parts[0]) and "Join" not in plan_of(parts[1])

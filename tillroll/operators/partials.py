@@ -19,6 +19,7 @@ categories and the key dictionaries, not by the number of fact lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -112,12 +113,24 @@ def bitmap_rows(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFram
     return reduce(DataFrame.unionByName, bitmap_parts(fact, dim_product, ids))
 
 
-def bitmap_parts(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFrame]) -> list[DataFrame]:
+def invoice_ids(fact: DataFrame, dim_product: DataFrame, ids: DataFrame) -> DataFrame:
+    """``ingestion_date, date_key, region_key, category, id`` of the invoices:
+    the distinct rows from which both kinds of invoice bitmaps follow.
+    ``category`` is null where a line's product is not in the dimension."""
+    lines = fact.join(categorized_products(dim_product), "product_key", "left")
+    seen = lines.select("ingestion_date", "date_key", "region_key", "category",
+                        F.col(DISTINCT_KEYS["invoice"]).alias("member")).distinct()
+    return seen.join(ids, "member").drop("member")
+
+
+def bitmap_parts(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFrame],
+                 store: Callable[[DataFrame, str], DataFrame] | None = None) -> list[DataFrame]:
     """``fact_bitmaps`` of fact rows by kind: ``kind`` tells what is counted within
     which of the columns ``date_key, region_key, category`` (others null).
 
     Distinct keys of a group first: a hot key or group is one row per map
-    task before anything is joined.
+    task before anything is joined. With ``store``, which writes a table and
+    reads it back, the invoices meet their ids once for both of their kinds.
     """
     unknown = C.stable_key(C.CUSTOMER_PREFIX, F.lit(C.UNKNOWN_CUSTOMER))
     sources = {
@@ -127,11 +140,17 @@ def bitmap_parts(fact: DataFrame, dim_product: DataFrame, ids: dict[str, DataFra
         "product": ("product", fact, []),
     }
     types = {"date_key": "int", "region_key": "string", "category": "string"}
+    invoices = None if store is None else store(invoice_ids(fact, dim_product, ids["invoice"]), "invoice_ids")
     parts = []
     for kind, (key, rows, within) in sources.items():
         groups = [F.col(c).alias(c) if c in within else F.lit(None).cast(t).alias(c) for c, t in types.items()]
-        seen = rows.select("ingestion_date", *groups, F.col(DISTINCT_KEYS[key]).alias("member")).distinct()
-        bits = seen.join(ids[key], "member").groupBy(
+        if key == "invoice" and invoices is not None:
+            known = invoices.where(F.col("category").isNotNull()) if "category" in within else invoices
+            numbered = known.select("ingestion_date", *groups, "id")  # a bit set twice is one
+        else:
+            seen = rows.select("ingestion_date", *groups, F.col(DISTINCT_KEYS[key]).alias("member")).distinct()
+            numbered = seen.join(ids[key], "member")
+        bits = numbered.groupBy(
             "ingestion_date", *types, F.bitmap_bucket_number("id").alias("bucket")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap"))
         parts.append(bits.select("ingestion_date", F.lit(kind).alias("kind"), *types, "bucket", "bitmap"))

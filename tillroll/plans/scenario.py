@@ -305,7 +305,8 @@ class Scenario:
         made = {
             "fact_daily": lambda rows: [partials.daily_rows(rows)],
             "fact_category": lambda rows: [partials.category_rows(rows, self.dims_rerun["dim_product"])],
-            "fact_bitmaps": lambda rows: partials.bitmap_parts(rows, self.dims_rerun["dim_product"], self.key_ids),
+            "fact_bitmaps": lambda rows: partials.bitmap_parts(
+                rows, self.dims_rerun["dim_product"], self.key_ids, self.store),
         }
 
         def table(name: str) -> DataFrame:
